@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..options import Options
+from ..session import ensure_parallelism
 
 
 def filter_document_lines(docs: DataFrame, text_col: str = "text", opts: Options = Options()) -> DataFrame:
@@ -36,10 +37,17 @@ def filter_word_count(sents: DataFrame, lo: int = 3, hi: int = 150, col: str = "
     return sents.filter(T.word_count(F.col(col)).between(lo, hi))
 
 
-def clean_corpus(docs: DataFrame, opts: Options = Options(), key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents -> ``(key, sent_no, sentence)``; one lazy, shuffle-free plan."""
-    joined = docs.select(key, T.normalise_text(T.filter_lines(F.col(text_col), opts.strip_subtitle_cues)).alias("text"))
-    sents = filter_word_count(explode_sentences(joined, key), opts.min_words, opts.max_words)
+def clean_corpus(docs: DataFrame, opts: Options = Options(), key: str = "doc_id", text_col: str = "text",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents -> ``(*keep, key, sent_no, sentence)``; one lazy, shuffle-free plan."""
+    docs = ensure_parallelism(docs.select(*keep, key, text_col))
+    joined = docs.select(
+        *keep, key, T.normalise_text(T.filter_lines(F.col(text_col), opts.strip_subtitle_cues)).alias("text")
+    )
+    sents = joined.select(
+        *keep, key, F.posexplode(T.split_sentences(F.col("text"))).alias("sent_no", "sentence")
+    ).withColumn("sent_no", F.col("sent_no").cast("bigint"))
+    sents = filter_word_count(sents, opts.min_words, opts.max_words)
     return sents.withColumn("sentence", T.sentence_case(F.col("sentence")))
 
 

@@ -1 +1,135 @@
-"""Registered queries (filled in per section)."""
+"""Registered queries for training-set preparation."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import sentences as S
+from ..operators import training as TR
+from ..session import table
+from . import duck as D
+from .registry import query
+
+# Cleaned sentences of every document, one model per `source` (the reference trains one model per corpus).
+DUCK_SENTENCES = f"""(SELECT d.source AS model, c.doc_id, c.sent_no, c.sentence
+ FROM ({D.clean_corpus_sql('(SELECT doc_id, text FROM documents)')}) c JOIN documents d USING (doc_id))"""
+DUCK_SPLIT = f"""(SELECT *, CASE WHEN pos < cut THEN 'train' ELSE 'eval' END AS split,
+  CAST(CASE WHEN pos < cut THEN pos ELSE pos - cut END AS BIGINT) AS split_pos FROM (
+ SELECT *, CAST(row_number() OVER (PARTITION BY model ORDER BY doc_id, sent_no) - 1 AS BIGINT) AS pos,
+  CAST(count(*) OVER (PARTITION BY model) AS BIGINT) AS n,
+  floor(CAST(count(*) OVER (PARTITION BY model) AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(0.1 AS DOUBLE))) AS cut
+ FROM {DUCK_SENTENCES}))"""
+TOKEN_RX = "'[A-Za-z0-9''-]+|[.,?!]'"
+DUCK_VOCAB = f"""(SELECT model, token, CAST(3 + row_number() OVER (PARTITION BY model ORDER BY n DESC, token) AS BIGINT) AS id, n
+ FROM (SELECT model, token, CAST(count(*) AS BIGINT) AS n FROM (
+   SELECT model, unnest(regexp_extract_all(sentence, {TOKEN_RX})) AS token FROM {DUCK_SPLIT} WHERE split = 'train')
+  GROUP BY model, token)
+ UNION ALL SELECT m.model, s.token, s.id, CAST(0 AS BIGINT) AS n FROM (SELECT DISTINCT model FROM {DUCK_SPLIT} WHERE split = 'train') m,
+ (VALUES ('[PAD]', CAST(0 AS BIGINT)), ('[UNK]', 1), ('<s>', 2), ('</s>', 3)) s(token, id))"""
+DUCK_ENCODED = f"""(SELECT s.model, s.doc_id, s.sent_no, s.split, s.split_pos,
+  list_transform(list_sort(list(struct_pack(p := t.p, id := coalesce(v.id, 1)))), lambda x: x.id) AS ids
+ FROM {DUCK_SPLIT} s,
+ LATERAL (SELECT unnest(regexp_extract_all(s.sentence, {TOKEN_RX})) AS token,
+                 generate_subscripts(regexp_extract_all(s.sentence, {TOKEN_RX}), 1) AS p) t
+ LEFT JOIN {DUCK_VOCAB} v ON v.model = s.model AND v.token = t.token
+ GROUP BY s.model, s.doc_id, s.sent_no, s.split, s.split_pos)"""
+
+
+def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("model"), "text")
+    return S.clean_corpus(docs, keep=("model",))
+
+
+def split_sentences(spark, sf_dir) -> DataFrame:
+    return TR.ordered_split(sentences(spark, sf_dir))
+
+
+def vocab(split: DataFrame) -> DataFrame:
+    return TR.build_vocab(split.filter(F.col("split") == "train"))
+
+
+def encoded(split: DataFrame, voc: DataFrame) -> DataFrame:
+    ids = TR.encode(split, voc, "sentence", ["doc_id", "sent_no"])
+    return split.select("model", "doc_id", "sent_no", "split", "split_pos").join(ids, ["model", "doc_id", "sent_no"])
+
+
+def ids_str(c: str = "ids"):
+    return F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), " ")
+
+
+@query(
+    "d1_make_pairs",
+    f"""SELECT model, doc_id, sent_no, 'write a lyric based on this text: ' || sentence AS input_text, sentence AS target_text
+ FROM {DUCK_SENTENCES}""",
+)
+def d1_make_pairs(spark, sf_dir):
+    return TR.make_pairs(sentences(spark, sf_dir), style="seq2seq").select(
+        "model", "doc_id", "sent_no", "input_text", "target_text"
+    )
+
+
+@query("d2_ordered_split", f"SELECT model, doc_id, sent_no, pos, split, split_pos FROM {DUCK_SPLIT}")
+def d2_ordered_split(spark, sf_dir):
+    return split_sentences(spark, sf_dir).select("model", "doc_id", "sent_no", "pos", "split", "split_pos")
+
+
+@query("d3_build_vocab", f"SELECT * FROM {DUCK_VOCAB}")
+def d3_build_vocab(spark, sf_dir):
+    return vocab(split_sentences(spark, sf_dir)).select("model", "token", "id", "n")
+
+
+@query(
+    "d3_encode",
+    f"SELECT model, doc_id, sent_no, array_to_string(ids, ' ') AS ids FROM {DUCK_ENCODED}",
+)
+def d3_encode(spark, sf_dir):
+    split = split_sentences(spark, sf_dir)
+    return encoded(split, vocab(split)).select("model", "doc_id", "sent_no", ids_str().alias("ids"))
+
+
+@query(
+    "d5_truncate",
+    f"""SELECT model, doc_id, sent_no, CAST(len(ids) AS BIGINT) AS n_ids, array_to_string(ids[1:128], ' ') AS ids
+ FROM {DUCK_ENCODED}""",
+)
+def d5_truncate(spark, sf_dir):
+    split = split_sentences(spark, sf_dir)
+    enc = encoded(split, vocab(split)).withColumn("n_ids", F.size("ids").cast("bigint"))
+    return TR.truncate(enc, "ids", 128).select("model", "doc_id", "sent_no", "n_ids", ids_str().alias("ids"))
+
+
+@query(
+    "d6_drop_text",
+    f"SELECT model, doc_id, sent_no, split, CAST(len(ids) AS BIGINT) AS n_ids FROM {DUCK_ENCODED}",
+)
+def d6_drop_text(spark, sf_dir):
+    split = split_sentences(spark, sf_dir)
+    enc = encoded(split, vocab(split))
+    return enc.select("model", "doc_id", "sent_no", "split", F.size("ids").cast("bigint").alias("n_ids"))
+
+
+@query(
+    "d7_pad_batches",
+    f"""SELECT model, split, split_pos, batch_id, array_to_string(ids || list_transform(range(m - len(ids)), lambda x: 0), ' ') AS ids,
+  array_to_string(list_transform(range(len(ids)), lambda x: 1) || list_transform(range(m - len(ids)), lambda x: 0), ' ') AS mask,
+  array_to_string(ids || list_transform(range(m - len(ids)), lambda x: -100), ' ') AS labels
+ FROM (SELECT *, max(len(ids)) OVER (PARTITION BY model, split, batch_id) AS m FROM (
+   SELECT *, CAST(floor(split_pos / 4) AS BIGINT) AS batch_id FROM {DUCK_ENCODED}))""",
+)
+def d7_pad_batches(spark, sf_dir):
+    split = split_sentences(spark, sf_dir)
+    out = TR.pad_batches(encoded(split, vocab(split)), 4)
+    return out.select(
+        "model", "split", "split_pos", "batch_id", ids_str("ids").alias("ids"), ids_str("mask").alias("mask"),
+        ids_str("labels").alias("labels"),
+    )
+
+
+@query(
+    "d8_steps_per_epoch",
+    f"""SELECT model, CAST(count(*) AS BIGINT) AS n_train, CAST(floor(count(*) / 4) AS BIGINT) AS steps_per_epoch
+ FROM {DUCK_SPLIT} WHERE split = 'train' GROUP BY model""",
+)
+def d8_steps_per_epoch(spark, sf_dir):
+    return TR.steps_per_epoch(split_sentences(spark, sf_dir), 4)

@@ -82,6 +82,17 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
     return df
 
 
+def broadcast_if_few(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast a small derived table after counting it (the count is the size check).
+
+    The table is cached first so the count and the join read it once.
+    """
+    df = df.persist()
+    if df.count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
