@@ -27,16 +27,12 @@ def padded_tokens(sentence) -> Column:
 def events(df: DataFrame, col: str = "sentence", group_cols=("model",)) -> DataFrame:
     """One row per predicted position: ``(model, ctx3, ctx2, token)``."""
     g = list(group_cols)
-    p = padded_tokens(col)
-    ev = F.transform(
-        F.sequence(F.lit(3), F.size(p)),
-        lambda i: F.struct(
-            F.concat_ws(" ", F.element_at(p, i - 2), F.element_at(p, i - 1)).alias("ctx3"),
-            F.element_at(p, i - 1).alias("ctx2"),
-            F.element_at(p, i).alias("token"),
-        ),
+    p = df.select(*g, padded_tokens(col).alias("_p")).select(*g, "_p", (F.size("_p") - 2).alias("_n"))
+    zipped = F.arrays_zip(
+        F.slice("_p", 1, F.col("_n")).alias("a"), F.slice("_p", 2, F.col("_n")).alias("b"), F.slice("_p", 3, F.col("_n")).alias("token")
     )
-    return df.select(*g, F.inline(ev))
+    ev = p.select(*g, F.inline(zipped))
+    return ev.select(*g, F.concat_ws(" ", "a", "b").alias("ctx3"), F.col("b").alias("ctx2"), "token")
 
 
 def fit_ngrams(df: DataFrame, col: str = "sentence", group_cols=("model",)) -> DataFrame:

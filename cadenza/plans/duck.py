@@ -210,3 +210,16 @@ def clean_corpus_sql(docs: str, min_words: int = 3, max_words: int = 150) -> str
     return f"""
 SELECT doc_id, sent_no, {sentence_case('sentence')} AS sentence FROM ({sentences_sql(joined_text_sql(docs))})
 WHERE {word_count('sentence')} BETWEEN {min_words} AND {max_words}"""
+
+
+def format_lines(x, n):
+    w = f"regexp_extract_all(replace({x}, chr(10), ' '), {rx(NON_SPACE + '+')})"
+    step = f"greatest({n}, 1)"
+    return (
+        f"(SELECT CASE WHEN len(w) = 0 THEN '' ELSE array_to_string(list_transform(range(0, len(w), {step}),"
+        f" lambda i: array_to_string(w[i + 1:i + {step}], ' ')), chr(10)) END FROM (SELECT {w} AS w))"
+    )
+
+
+def md5_int(key_sql: str) -> str:
+    return f"CAST(('0x' || substr(md5({key_sql}), 1, 8)) AS BIGINT)"
