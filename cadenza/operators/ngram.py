@@ -116,26 +116,17 @@ def next_token_dist(cands: Column, ctx_cnt: Column, history: Column, temperature
     referenced inside a lambda would be re-evaluated for every element).
     """
     T_, K_, P_, R_ = (F.lit(x) if not isinstance(x, Column) else x for x in (temperature, top_k, top_p, penalty))
+
+    def score(x):
+        return F.ln(x["cnt"] / ctx_cnt) * F.when(F.array_contains(history, x["token"]), R_).otherwise(F.lit(1.0)) / T_
+
+    # Natural struct order (-round(sc, 9), token) is exactly the ranking rule, and sorts without a lambda.
     scored = F.transform(
         cands,
-        lambda x: F.struct(
-            x["token"].alias("token"),
-            (F.ln(x["cnt"] / ctx_cnt) * F.when(F.array_contains(history, x["token"]), R_).otherwise(F.lit(1.0)) / T_).alias("sc"),
-        ),
+        lambda x: F.struct((-F.round(score(x), 9)).alias("k"), x["token"].alias("token"), score(x).alias("sc")),
     )
-
-    def cmp(left, right):
-        ls, rs = F.round(left["sc"], 9), F.round(right["sc"], 9)
-        return (
-            F.when(ls > rs, -1)
-            .when(ls < rs, 1)
-            .when(left["token"] < right["token"], -1)
-            .when(left["token"] > right["token"], 1)
-            .otherwise(0)
-        )
-
-    top = F.slice(F.array_sort(scored, cmp), 1, K_)
-    item = "struct<token:string,sc:double>"
+    top = F.slice(F.sort_array(scored), 1, K_)
+    item = "struct<k:double,token:string,sc:double>"
     init = F.struct(
         F.lit(None).cast("double").alias("mx"), F.lit(0.0).alias("z"), F.array().cast(f"array<{item}>").alias("xs")
     )
