@@ -29,4 +29,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that its queries register themselves."""
-    from . import corpus, model, requests, sources, songs, training, vectors  # noqa: F401
+    from . import corpus, model, requests, sources, songs, streams, training, vectors  # noqa: F401

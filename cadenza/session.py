@@ -103,6 +103,8 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     Large inputs already have many splits, so on a real cluster this adds no shuffle; a one-row-group
     file would otherwise run every regex in a single task.
     """
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
