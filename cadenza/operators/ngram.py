@@ -117,14 +117,18 @@ def next_token_dist(cands: Column, ctx_cnt: Column, history: Column, temperature
     """
     T_, K_, P_, R_ = (F.lit(x) if not isinstance(x, Column) else x for x in (temperature, top_k, top_p, penalty))
 
-    def score(x):
-        return F.ln(x["cnt"] / ctx_cnt) * F.when(F.array_contains(history, x["token"]), R_).otherwise(F.lit(1.0)) / T_
-
-    # Natural struct order (-round(sc, 9), token) is exactly the ranking rule, and sorts without a lambda.
-    scored = F.transform(
-        cands,
-        lambda x: F.struct((-F.round(score(x), 9)).alias("k"), x["token"].alias("token"), score(x).alias("sc")),
+    # Penalised candidates = tokens both in the array and in the history (hash-based intersection, once
+    # per row); zip_with hands the same small set to every element without re-evaluating it.
+    pen = F.array_intersect(F.transform(cands, lambda x: x["token"]), history)
+    scored0 = F.zip_with(
+        cands, F.array_repeat(pen, F.size(cands)),
+        lambda x, p: F.struct(
+            x["token"].alias("token"),
+            (F.ln(x["cnt"] / ctx_cnt) * F.when(F.array_contains(p, x["token"]), R_).otherwise(F.lit(1.0)) / T_).alias("sc"),
+        ),
     )
+    # Natural struct order (-round(sc, 9), token) is exactly the ranking rule, and sorts without a lambda.
+    scored = F.transform(scored0, lambda x: F.struct((-F.round(x["sc"], 9)).alias("k"), x["token"].alias("token"), x["sc"].alias("sc")))
     top = F.slice(F.sort_array(scored), 1, K_)
     item = "struct<k:double,token:string,sc:double>"
     init = F.struct(
