@@ -133,3 +133,34 @@ def d7_pad_batches(spark, sf_dir):
 )
 def d8_steps_per_epoch(spark, sf_dir):
     return TR.steps_per_epoch(split_sentences(spark, sf_dir), 4)
+
+
+# ---- D4: sub-word merges ------------------------------------------------------------------------
+DUCK_BPE_WORDS = f"""(SELECT model, word, count(*) AS freq,
+  list_concat(regexp_extract_all(word, '.')[1:-2], [regexp_extract_all(word, '.')[-1] || '</w>']) AS s
+ FROM (SELECT model, unnest(regexp_extract_all(sentence, {TOKEN_RX})) AS word FROM {DUCK_SPLIT} WHERE split = 'train')
+ GROUP BY model, word)"""
+
+
+@query(
+    "d4_bpe_pair_counts",
+    f"""SELECT model, s[i] AS "left", s[i + 1] AS "right", CAST(sum(freq) AS BIGINT) AS n FROM (
+  SELECT model, s, freq, unnest(range(1, len(s))) AS i FROM {DUCK_BPE_WORDS} WHERE len(s) > 1)
+ GROUP BY model, s[i], s[i + 1]""",
+)
+def d4_bpe_pair_counts(spark, sf_dir):
+    from ..operators import bpe
+
+    split = split_sentences(spark, sf_dir).filter(F.col("split") == "train")
+    return bpe.pair_counts(bpe.word_table(split)).select("model", "left", "right", "n")
+
+
+BPE_MERGES = 20
+
+
+@query("d4_learn_bpe")
+def d4_learn_bpe(spark, sf_dir):
+    from ..operators import bpe
+
+    split = split_sentences(spark, sf_dir).filter(F.col("split") == "train")
+    return bpe.learn_bpe(bpe.word_table(split), BPE_MERGES)
