@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +64,7 @@ def perplexity(model: DataFrame, heldout: DataFrame, col: str = "sentence", grou
     """
     g = list(group_cols)
     ev = events(heldout, col, g)
+    model = model.persist(StorageLevel.MEMORY_AND_DISK)  # read by three joins
     m3 = model.filter("order = 3").select(*g, F.col("ctx").alias("ctx3"), "token", (F.col("cnt") / F.col("ctx_cnt")).alias("p3"))
     m2 = model.filter("order = 2").select(*g, F.col("ctx").alias("ctx2"), "token", (F.col("cnt") / F.col("ctx_cnt")).alias("p2"))
     m1 = model.filter("order = 1").select(*g, "token", "cnt")
@@ -89,6 +91,7 @@ def candidates(model: DataFrame, cap: int | None, group_cols=("model",)) -> Data
     (``is_exact`` below); ``cap=None`` keeps every continuation.
     """
     g = list(group_cols)
+    model = model.persist(StorageLevel.MEMORY_AND_DISK)  # read twice: the cut and the candidate counts
     m = model
     if cap is not None:
         w = Window.partitionBy(*g, "order", "ctx").orderBy(F.col("cnt").desc(), F.col("token"))

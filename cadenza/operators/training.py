@@ -7,6 +7,7 @@ by per-partition offsets taken from a table with one row per (partition, group).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +48,8 @@ def global_position(df: DataFrame, order_cols: list[str], group_cols: list[str]
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     mid = F.monotonically_increasing_id()
+    # The range partitioner samples its input in a separate job; keep that input so it is built once.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     numbered = ranged.select(
         "*",
