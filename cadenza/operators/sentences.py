@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..options import Options
-from ..session import ensure_parallelism
+from ..session import broadcast_if_few, ensure_parallelism
 
 
 def filter_document_lines(docs: DataFrame, text_col: str = "text", opts: Options = Options()) -> DataFrame:
@@ -89,9 +89,9 @@ def merge_abbrev(sents: DataFrame, abbrevs: DataFrame, key: str = "doc_id", col:
     A running count of real boundaries per document gives each merged sentence an id, then an
     ordered ``collect_list`` per (document, id) rebuilds it.  Groups are single sentences.
     """
-    last = F.lower(F.regexp_extract(F.col(col), r"(\S+)\.\z", 1))
+    last = F.lower(F.regexp_extract(F.col(col), r"([^ ]+)\.\z", 1))
     flagged = sents.join(
-        F.broadcast(abbrevs.filter("is_abbrev").select(F.col("token").alias("_abbr"))),
+        broadcast_if_few(abbrevs.filter("is_abbrev").select(F.col("token").alias("_abbr"))),
         last == F.col("_abbr"),
         "left",
     ).withColumn("_cont", F.col("_abbr").isNotNull()).drop("_abbr")

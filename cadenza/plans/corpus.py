@@ -240,3 +240,20 @@ def c15_clean_corpus(spark, sf_dir):
 @query("c15_clean_corpus_injected", DUCK_CLEAN_INJECTED)
 def c15_clean_corpus_injected(spark, sf_dir):
     return S.clean_corpus(injected(spark, sf_dir))
+
+
+@query(
+    "c11_merge_abbrev",
+    f"""WITH s AS ({DUCK_CLEAN_INJECTED}),
+ ab AS (SELECT token FROM (SELECT lower(regexp_replace(tok, '\\.\\z', '')) AS token, ends_with(tok, '.') AS dotted
+     FROM (SELECT unnest({D.words('sentence')}) AS tok FROM s)) WHERE token <> '' GROUP BY token
+   HAVING count_if(dotted) >= 5 AND regexp_matches(token, '^[a-z]+\\z') AND length(token) <= 5
+     AND count_if(dotted) / (count_if(dotted) + count_if(NOT dotted)) >= 0.9),
+ f AS (SELECT s.*, lower(regexp_extract(sentence, '([^ ]+)\\.$', 1)) IN (SELECT token FROM ab) AS cont FROM s),
+ l AS (SELECT *, coalesce(lag(cont) OVER (PARTITION BY doc_id ORDER BY sent_no), false) AS prev FROM f),
+ g AS (SELECT *, sum(CASE WHEN prev THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY sent_no ROWS UNBOUNDED PRECEDING) AS sid FROM l)
+ SELECT doc_id, min(sent_no) AS sent_no, string_agg(sentence, ' ' ORDER BY sent_no) AS sentence FROM g GROUP BY doc_id, sid""",
+)
+def c11_merge_abbrev(spark, sf_dir):
+    sents = S.clean_corpus(injected(spark, sf_dir))
+    return S.merge_abbrev(sents, S.learn_abbreviations(sents))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.training import global_position
-from ..session import scratch_root
+from ..session import broadcast_if_few, scratch_root
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -84,7 +84,7 @@ def read_csv_column(spark: SparkSession, path: str, column: str) -> DataFrame:
     from pyspark.sql import Window
 
     offs = files.select("_file", F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
-    out = numbered.join(F.broadcast(offs), "_file")
+    out = numbered.join(broadcast_if_few(offs), "_file")
     out = out.filter(F.col("_c").isNotNull() & (F.col("_c") != ""))
     return out.select((F.col("_o") + F.col("_r")).alias("row_no"), T.py_strip("_c").alias("text"))
 
