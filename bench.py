@@ -11,7 +11,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -52,8 +51,6 @@ def main() -> None:
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cadenza-bench-"))
     from cadenza.plans.registry import QUERIES, load_all
     from cadenza.session import prepare
 

@@ -41,14 +41,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SCRATCH_KEY = "cadenza.scratch.dir"
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temp folder only when the session has none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder named by ``spark.checkpoint.dir``; a temp folder only when the session has none.
+
+    ``spark.checkpoint.dir`` cannot be changed on a running session, so a fallback folder is recorded
+    under a package key and registered with ``setCheckpointDir``.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = os.environ.get("CADENZA_SCRATCH") or tempfile.mkdtemp(prefix="cadenza-scratch-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = tempfile.mkdtemp(prefix="cadenza-scratch-")
+    if spark.conf.get(SCRATCH_KEY, None) != root:
+        spark.conf.set(SCRATCH_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
