@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_parallelism, table
 from . import decontaminate as contamination
 from . import exact_dedup as exact
-from . import mixing, quality, simhash
+from . import html_extract, langid, licenses, mixing, pii, quality, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,6 +67,25 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.report(contamination.decontaminate(_documents(spark, sf_dir), benchmark))
 
 
+@_register()
+def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(ensure_parallelism(table(spark, sf_dir, "pages")))
+
+
+@_register()
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    weights, temperature = licenses.fit(spark, docs.select("doc_id", "text"))
+    return licenses.licences(docs, weights, temperature)
+
+
+@_register()
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = langid.detect(docs, langid.fit(langid.training_rows(docs)))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @_register()
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
@@ -74,6 +93,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+@_register()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(_documents(spark, sf_dir))
+
+
 @_register()
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_documents(spark, sf_dir))
@@ -83,3 +107,8 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register()
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(_documents(spark, sf_dir))
+
+
+@_register()
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(_documents(spark, sf_dir))
