@@ -106,6 +106,8 @@ class Shard:
             rarest = order[row, : windows.lengths[row]].tolist()
             terms = windows.terms[row]
             at = self.postings(terms[rarest[0]]) - rarest[0]
+            if slop:
+                at = np.unique(at[:, None] + np.arange(-slop, slop + 1))
             for offset in rarest[1:]:
                 list_ = self.postings(terms[offset])
                 aim = at + offset - slop
@@ -115,8 +117,8 @@ class Shard:
                 if not len(at):
                     break
             if len(at):
-                # The rarest term stands where the list says, and no match spans two documents.
-                yield row, at, np.searchsorted(self.starts, at + rarest[0], side="right") - 1
+                # The rarest term stands within slop of its place, and the gaps are wider than that.
+                yield row, at, np.searchsorted(self.starts, at + rarest[0] + slop, side="right") - 1
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int64())),

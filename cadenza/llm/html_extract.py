@@ -31,6 +31,7 @@ INLINE = frozenset(
 DROPPED = frozenset("nav footer aside form menu dialog select button fieldset svg canvas object audio video map head figcaption".split())
 PARTS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FLOW = frozenset("p ul ol li dl dt dd blockquote pre h1 h2 h3 h4 h5 h6".split())
 MARKS = frozenset(
     "ad ads advert advertisement advertising adbox banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar footer comment comments disqus replies reply cookie cookies consent gdpr notice "
@@ -80,17 +81,20 @@ class Block:
     text: str
     linked: int  # characters inside links
     part: int  # 0 outside article and main elements, else the number of the innermost
-    heading: bool
+    box: int  # number of the innermost element that is no paragraph, heading or list
     dropped: bool
 
 
+OUTSIDE = ("", False, 0, 0)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks of text in page order.  White space is squeezed; ``br`` counts as white space."""
     blocks: list[Block] = []
     pieces: list[str] = []
     link_pieces: list[str] = []
-    open_: list[tuple[str, bool, int]] = []  # block elements around: name, dropped, part
-    links, n_parts, at, size = 0, 0, 0, len(page)
+    open_: list[tuple[str, bool, int, int]] = []  # block elements around: name, dropped, part, box
+    links, n_parts, n_boxes, at, size = 0, 0, 0, 0, len(page)
 
     def add(text: str) -> None:
         if text:
@@ -102,8 +106,8 @@ def blocks_of(page: str) -> list[Block]:
         text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
         if text:
             linked = len(_SPACE.sub(" ", html.unescape("".join(link_pieces))).strip())
-            dropped, part = (open_[-1][1], open_[-1][2]) if open_ else (False, 0)
-            blocks.append(Block(text, linked, part, any(n in HEADINGS for n, _, _ in open_[-2:]), dropped))
+            _, dropped, part, box = open_[-1] if open_ else OUTSIDE
+            blocks.append(Block(text, linked, part, box, dropped))
         pieces.clear()
         link_pieces.clear()
 
@@ -143,15 +147,17 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or attributes.endswith("/"):
             continue
         links = 0
-        around = open_[-1] if open_ else ("", False, 0)
         if name == "p" or name in HEADINGS or name == "li":  # these end an open one of their kind
             while open_ and (open_[-1][0] == "p" or open_[-1][0] in HEADINGS or open_[-1][0] == name == "li"):
                 open_.pop()
-            around = open_[-1] if open_ else ("", False, 0)
+        around = open_[-1] if open_ else OUTSIDE
         if name in PARTS and not around[1]:
             n_parts += 1
-        part = n_parts if name in PARTS else around[2]
-        open_.append((name, around[1] or _dropped(name, attributes, around[2] > 0), part))
+        part, box = n_parts if name in PARTS else around[2], around[3]
+        if name not in FLOW:
+            n_boxes += 1
+            box = n_boxes
+        open_.append((name, around[1] or _dropped(name, attributes, around[2] > 0), part, box))
     close_block()
     return blocks
 
@@ -173,23 +179,29 @@ def first_pass(block: Block) -> bool | None:
 
 
 def second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:
-    """Open blocks inherit from the nearest decided neighbour of their part on either side; ties are article."""
+    """Open blocks inherit from the nearest decided neighbour on either side; ties are article.
+
+    Neighbours in the same box come first, then those in the same part.  Where a part decides nothing, marked-up
+    article stays and the rest goes.  A dropped element's label is about that element alone, but outside of articles
+    it also tells of what stands around it.
+    """
     n = len(blocks)
-    before: list[tuple[int, bool] | None] = [None] * n
-    after: list[tuple[int, bool] | None] = [None] * n
-    for order, near in ((range(n), before), (range(n - 1, -1, -1), after)):
-        last: dict[int, tuple[int, bool]] = {}
-        for k in order:
-            # A dropped element's label is about that element alone; it says nothing about its neighbours in a part.
-            if labels[k] is not None and not (blocks[k].dropped and blocks[k].part):
-                last[blocks[k].part] = (k, labels[k])
-            near[k] = last.get(blocks[k].part)
+    near: list[list[tuple[int, bool]]] = [[] for _ in range(n)]
+    for key in (lambda b: (b.part, b.box), lambda b: b.part):
+        sides: list[list[tuple[int, bool]]] = [[] for _ in range(n)]
+        for order in (range(n), range(n - 1, -1, -1)):
+            last: dict = {}
+            for k in order:
+                if labels[k] is not None and not (blocks[k].dropped and blocks[k].part):
+                    last[key(blocks[k])] = (k, labels[k])
+                elif labels[k] is None and key(blocks[k]) in last:
+                    sides[k].append(last[key(blocks[k])])
+        near = [x or y for x, y in zip(near, sides)]
     out = []
     for k, label in enumerate(labels):
         if label is None:
-            sides = [(abs(k - x[0]), x[1]) for x in (before[k], after[k]) if x]
-            close = [x[1] for x in sides if x[0] == min(s[0] for s in sides)]
-            label = any(close) if close else blocks[k].part > 0
+            nearest = min((abs(k - j) for j, _ in near[k]), default=0)
+            label = any(x for j, x in near[k] if abs(k - j) == nearest) if near[k] else blocks[k].part > 0
         out.append(label)
     return out
 

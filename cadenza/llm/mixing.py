@@ -112,15 +112,15 @@ def pivotal(rows: DataFrame, group_rows: int = GROUP_ROWS, seed: int = SEED) ->
             break
         same = rows["key"].eqNullSafe(counts["key"])
         dealt = rows.join(counts, same).drop(counts["key"])
-        dealt = dealt.withColumn("u", _draw(seed, level, "id", "size", "m"))
-        dealt = dealt.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "id", "size", "m"), F.col("groups")))
+        dealt = dealt.withColumn("u", _draw(seed, level, "key", "id", "size", "m"))
+        dealt = dealt.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "key", "id", "size", "m"), F.col("groups")))
         docs = F.array_sort(F.collect_list(F.struct("u", "id", "size", "m"))).alias("docs")
         folded = cut_lineage(dealt.groupBy("key", "grp").agg(docs).select("key", F.expr(_ROUND).alias("s")))
         decided.append(folded.select("key", F.inline("s.done")))
         rows = folded.where("s.has").select("key", F.col("s.id").alias("id"), F.col("s.a").alias("size"), F.col("s.m").alias("m"))
         level += 1
         if most <= 1:
-            up = _draw(seed, level, "id", "size", "m") * F.col("size") < F.col("m")
+            up = _draw(seed, level, "key", "id", "size", "m") * F.col("size") < F.col("m")
             decided.append(rows.select("key", "id", "size", up.alias("up")))
             break
     if not decided:

@@ -103,6 +103,7 @@ _DIGIT_WORDS = (
 )
 _AT = r"at|arroba|ät|chez"
 _DOT = r"dot|punkt|point|punto"
+_TOP_LEVEL = "com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|eu|de|fr|es|it|uk|at|ch|nl|be|pt|pl|us|ca|au|in|jp|cn|br|mx|ru"
 
 _DIGIT_OF = {w: str(d) for d, words in enumerate(_DIGIT_WORDS) for w in words}
 _DIGIT_WORD = "|".join(sorted(_DIGIT_OF, key=len, reverse=True))
@@ -111,8 +112,12 @@ _ONE_SPELLED = re.compile(rf"(?:{_DIGIT_WORD})", re.I)
 _PLUS = re.compile(r"(?<!\w)plus\x20(?=[0-9])", re.I)
 _BRACKET_AT = re.compile(rf"\x20?[\[({{<]\x20?(?:{_AT}|@)\x20?[\])}}>]\x20?", re.I)
 _BRACKET_DOT = re.compile(rf"\x20?[\[({{<]\x20?(?:{_DOT}|\.)\x20?[\])}}>]\x20?", re.I)
-_PLAIN_AT = re.compile(rf"(?<=[A-Za-z0-9])\x20(?:{_AT})\x20(?=[A-Za-z0-9-]+(?:\x20(?:{_DOT})\x20|\.)[A-Za-z0-9])", re.I)
-_PLAIN_DOT = re.compile(rf"(?<=[A-Za-z0-9])\x20(?:{_DOT})\x20(?=[A-Za-z0-9])", re.I)
+# A spoken address without brackets must end in a spoken dot and a usual top-level domain: "at" and "dot" are words too.
+_SPOKEN = re.compile(
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:\x20(?:{_DOT})\x20[A-Za-z0-9._%+-]++)*(?:\x20(?:{_AT})\x20|@)"
+    rf"[A-Za-z0-9-]++(?:(?:\x20(?:{_DOT})\x20|\.)[A-Za-z0-9-]++)*?\x20(?:{_DOT})\x20(?:{_TOP_LEVEL})(?![A-Za-z0-9-])", re.I)
+_SAID_AT, _SAID_DOT = re.compile(rf"\x20(?:{_AT})\x20", re.I), re.compile(rf"\x20(?:{_DOT})\x20", re.I)
+_DIGIT_DOT = re.compile(rf"(?<=[0-9])\x20(?:{_DOT})\x20(?=[0-9])", re.I)
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\x20?@\x20?(?=[A-Za-z0-9])")
 _HINT = re.compile(rf"[^\x00-\x7f]|[\[({{<]\x20?(?:{_AT}|{_DOT}|@|\.)|\x20(?:{_DOT})\x20|\x20@|@\x20|(?<!\w)(?:{_DIGIT_WORD})[\x20,.-]{{1,2}}(?:{_DIGIT_WORD})(?!\w)", re.I)
 
@@ -173,8 +178,8 @@ _PASSES = (
     (_PLUS, lambda m: "+"),
     (_BRACKET_AT, lambda m: "@"),
     (_BRACKET_DOT, lambda m: "."),
-    (_PLAIN_AT, lambda m: "@"),
-    (_PLAIN_DOT, lambda m: "."),
+    (_SPOKEN, lambda m: _SAID_DOT.sub(".", _SAID_AT.sub("@", m.group()))),
+    (_DIGIT_DOT, lambda m: "."),
     (_SPACED_AT, lambda m: "@" if len(m.group()) > 1 else None),
 )
 

@@ -90,7 +90,7 @@ def _tiles(nodes: DataFrame, segments: int, radius: int, tile_rows: int) -> Data
     tile's own fingerprints also to the blocks after their own.
     """
     width = BITS // segments
-    counts = [F.bit_count(F.shiftrightunsigned("fp", width * i).bitwiseAND(F.lit((1 << width) - 1))) for i in range(segments)]
+    counts = [F.bit_count(F.shiftrightunsigned("fp", width * i).bitwiseAND(F.lit((1 << width) - 1 if width < BITS else -1))) for i in range(segments)]
     keyed = nodes.select("fp", F.array(*counts).alias("c"))
     base = width + 2 * radius + 2
 

@@ -61,12 +61,13 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # Occurrences of a digest are combined before they are dealt; digests of one document need no second look.
     first = units.where("not again").groupBy("hi", "lo").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
     first = first.where("first_id < last_id").select("hi", "lo", "first_id")
-    across = units.where("not again").join(first, ["hi", "lo"]).where("doc_id > first_id")
+    across = units.join(first, ["hi", "lo"]).where("doc_id > first_id")
     inside = units.where("again").withColumn("first_id", F.col("doc_id"))
-    columns = ["doc_id", "version", "unit", "start", "end", "words", "first_id"]
-    found = across.select(columns).union(inside.select(columns)).dropDuplicates(["doc_id", "version", "unit"])
-    place = Window.partitionBy("doc_id", "version").orderBy("unit")
-    runs = found.withColumn("run", F.col("unit") - F.row_number().over(place)).groupBy("doc_id", "version", "run").agg(
+    place = ["doc_id", "version", "unit", "start", "end", "words"]
+    found = across.select(*place, "first_id").union(inside.select(*place, "first_id"))
+    found = found.groupBy(*place).agg(F.min("first_id").alias("first_id"))
+    order = Window.partitionBy("doc_id", "version").orderBy("unit")
+    runs = found.withColumn("run", F.col("unit") - F.row_number().over(order)).groupBy("doc_id", "version", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("units"),
         F.sum("words").alias("words"), F.collect_set("first_id").alias("first_ids"))
     return runs.where(F.col("words") >= min_words).drop("run")
