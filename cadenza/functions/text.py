@@ -25,9 +25,8 @@ WS = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{202
 SPACE = f"[{WS}]"
 NON_SPACE = f"[^{WS}]"
 
-# Title-line words (B7) and the characters kept by the whitelist.
-TITLE_WORDS = ("First", "Second", "Third", "Fourth", "Fifth", "Book", "Gospel", "Lamentations", "Song")
-TITLE_PATTERN = r"^The (" + "|".join(TITLE_WORDS) + ") of"
+# Title lines (B7), other line and text patterns, and the characters kept by the whitelist.
+TITLE_PATTERN = r"^The (First|Second|Third|Fourth|Fifth|Book|Gospel|Lamentations|Song) of"
 BOOK_PATTERN = rf"(?iu)^BOOK{SPACE}+[IVXLC]+{SPACE}*\.?\z"
 VERSE_REF_PATTERN = rf"^\p{{Nd}}{{1,3}}:\p{{Nd}}{{1,3}}{SPACE}*"
 SUBTITLE_CUE_PATTERN = r"\p{Nd}\n\p{Nd}+:\p{Nd}+:\p{Nd}+,\p{Nd}+ --> \p{Nd}+:\p{Nd}+:\p{Nd}+,\p{Nd}+"

@@ -9,11 +9,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import maybe_broadcast
+from ..session import broadcast_if_few
 from .training import BOS, EOS, tokens
 
 # Interpolation weights for orders 3, 2, 1.
@@ -60,11 +59,12 @@ def fit_ngrams(df: DataFrame, col: str = "sentence", group_cols=("model",)) -> D
 def perplexity(model: DataFrame, heldout: DataFrame, col: str = "sentence", group_cols=("model",)) -> DataFrame:
     """``exp(-mean(ln p))`` over held-out positions, ``p = .6 p3 + .3 p2 + .1 p1``.
 
-    ``p1 = (cnt + 1) / (N + V + 1)`` over V known tokens plus one unknown, so it is never zero.
+    ``p1 = (cnt + 1) / (N + V + 1)`` over V known tokens plus one unknown, so it is never zero.  Equal events are
+    counted before they are joined, and no join is on the group alone: its one-row normaliser is broadcast after a
+    count.
     """
     g = list(group_cols)
-    ev = events(heldout, col, g)
-    model = model.persist(StorageLevel.MEMORY_AND_DISK)  # read by three joins
+    ev = events(heldout, col, g).groupBy(*g, "ctx3", "ctx2", "token").agg(F.count(F.lit(1)).alias("_n"))
     m3 = model.filter("order = 3").select(*g, F.col("ctx").alias("ctx3"), "token", (F.col("cnt") / F.col("ctx_cnt")).alias("p3"))
     m2 = model.filter("order = 2").select(*g, F.col("ctx").alias("ctx2"), "token", (F.col("cnt") / F.col("ctx_cnt")).alias("p2"))
     m1 = model.filter("order = 1").select(*g, "token", "cnt")
@@ -73,38 +73,34 @@ def perplexity(model: DataFrame, heldout: DataFrame, col: str = "sentence", grou
         ev.join(m3, [*g, "ctx3", "token"], "left")
         .join(m2, [*g, "ctx2", "token"], "left")
         .join(m1, [*g, "token"], "left")
-        .join(maybe_broadcast(norm), g, "left")
+        .join(broadcast_if_few(norm), g, "left")
     )
     p1 = (F.coalesce("cnt", F.lit(0)) + 1) / F.col("_den")
     p = LAMBDAS[0] * F.coalesce("p3", F.lit(0.0)) + LAMBDAS[1] * F.coalesce("p2", F.lit(0.0)) + LAMBDAS[2] * p1
     return j.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.round(F.exp(-F.avg(F.ln(p))), 6).alias("perplexity"),
+        F.sum("_n").alias("n_events"),
+        F.round(F.exp(-F.sum(F.ln(p) * F.col("_n")) / F.sum("_n")), 6).alias("perplexity"),
     )
 
 
 def candidates(model: DataFrame, cap: int | None, group_cols=("model",)) -> DataFrame:
-    """Per (model, order, ctx): ``ctx_cnt``, ``n_cands`` and the ``cap`` most frequent continuations as
-    ``ARRAY<STRUCT<token, cnt>>`` ordered by (cnt desc, token asc).
+    """Per (model, order, ctx): ``ctx_cnt`` and the ``cap`` most frequent continuations as
+    ``ARRAY<STRUCT<token, cnt>>`` ordered by (cnt desc, token asc); ``cap=None`` keeps every continuation.
 
-    The cut is exact for sampling as long as at least ``k`` kept candidates are not penalised
-    (``is_exact`` below); ``cap=None`` keeps every continuation.
+    With a penalty of 1 or more a penalised token can only move down, so ``k`` plus the number of distinct penalised
+    tokens is an exact cap.  Below 1 a penalised token moves up from anywhere: use ``cap=None``.
     """
     g = list(group_cols)
-    model = model.persist(StorageLevel.MEMORY_AND_DISK)  # read twice: the cut and the candidate counts
-    m = model
     if cap is not None:
         w = Window.partitionBy(*g, "order", "ctx").orderBy(F.col("cnt").desc(), F.col("token"))
-        m = m.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= cap)
-    nc = model.groupBy(*g, "order", "ctx").agg(F.count(F.lit(1)).alias("n_cands"))
-    arr = m.groupBy(*g, "order", "ctx").agg(
+        model = model.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= cap)
+    return model.groupBy(*g, "order", "ctx").agg(
         F.first("ctx_cnt").alias("ctx_cnt"),
         F.transform(
             F.array_sort(F.collect_list(F.struct((-F.col("cnt")).alias("k"), F.col("token"), F.col("cnt")))),
             lambda x: F.struct(x["token"].alias("token"), x["cnt"].alias("cnt")),
         ).alias("cands"),
     )
-    return arr.join(nc, [*g, "order", "ctx"])
 
 
 def next_token_dist(cands: Column, ctx_cnt: Column, history: Column, temperature, top_k, top_p,
@@ -192,10 +188,3 @@ def sample_token(dist: Column, u: Column) -> Column:
         ),
         lambda acc: F.coalesce(acc["t"], acc["last"]),
     )
-
-
-def is_exact(cands: Column, n_cands: Column, history: Column, top_k) -> Column:
-    """True when a capped candidate array decides top-k exactly (see ``candidates``)."""
-    k = F.lit(top_k) if not isinstance(top_k, Column) else top_k
-    free = F.size(F.filter(cands, lambda x: ~F.array_contains(history, x["token"])))
-    return (F.size(cands) >= n_cands) | (free >= k)

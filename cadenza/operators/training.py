@@ -7,12 +7,11 @@ by per-partition offsets taken from a table with one row per (partition, group).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..options import SEQ2SEQ_PREFIX, Options
-from ..session import broadcast_if_few, cut_lineage, maybe_broadcast
+from ..session import broadcast_if_few, cut_lineage, stored
 
 # Special tokens and their ids, and the token pattern (covers the cleaning whitelist).
 PAD, UNK, BOS, EOS = "[PAD]", "[UNK]", "<s>", "</s>"
@@ -20,6 +19,7 @@ SPECIALS = ((PAD, 0), (UNK, 1), (BOS, 2), (EOS, 3))
 TOKEN_PATTERN = r"[A-Za-z0-9'-]+|[.,?!]"
 LABEL_MASK = -100
 
+ENCODE_SALTS = 8
 _IDX_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index in the partition
 
 
@@ -48,8 +48,6 @@ def global_position(df: DataFrame, order_cols: list[str], group_cols: list[str]
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     mid = F.monotonically_increasing_id()
-    # The range partitioner samples its input in a separate job; keep that input so it is built once.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     numbered = ranged.select(
         "*",
@@ -72,10 +70,43 @@ def global_position(df: DataFrame, order_cols: list[str], group_cols: list[str]
     return out.drop("_pid", "_idx", "_off", "_first")
 
 
+def global_cumsum(df: DataFrame, weight: str, order_cols: list[str], group_cols: list[str], out: str = "start",
+                  total_col: str | None = None) -> DataFrame:
+    """Exclusive prefix sum of ``weight`` per group in ``order_cols`` order, without a one-task window.
+
+    Rows are dealt by range on (group, order) and checkpointed; sums run inside each range, and a table with one row
+    per range and group gives what lies before it.  ``order_cols`` must be unique within a group.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*group_cols, *order_cols]
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()))
+    totals = ranged.groupBy("_pid", *group_cols).agg(F.sum(weight).alias("_t"))
+    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "_pid", *group_cols, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"),
+        *([F.sum("_t").over(Window.partitionBy(*group_cols)).alias(total_col)] if total_col else []),
+    )
+    inside = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    res = local.join(broadcast_if_few(offsets), ["_pid", *group_cols])
+    return res.withColumn(out, (F.col("_o") + F.col("_local")).cast("bigint")).drop("_pid", "_local", "_o")
+
+
 def ordered_split(df: DataFrame, v: float = 0.1, order_cols=("doc_id", "sent_no"), group_cols=("model",)) -> DataFrame:
     """First ``int(n*(1-v))`` rows of each group are train, the rest eval; adds ``pos``, ``split``,
-    ``split_pos`` (position inside the split) and ``n``."""
-    out = global_position(df, list(order_cols), list(group_cols), "pos", "n")
+    ``split_pos`` (position inside the split) and ``n``.
+
+    The rows are built once, into the shared folder.  Only one count per document is dealt by range; the text moves
+    once, to stand beside its document's start.
+    """
+    doc, *inner = order_cols
+    df = stored(df, "split")
+    counts = df.groupBy(*group_cols, doc).agg(F.count(F.lit(1)).alias("_c"))
+    starts = global_cumsum(counts, "_c", [doc], list(group_cols), "_start", "n").drop("_c")
+    within = Window.partitionBy(*group_cols, doc).orderBy(*inner)
+    out = df.withColumn("_k", F.row_number().over(within) - 1).join(starts, [*group_cols, doc])
+    out = out.withColumn("pos", F.col("_start") + F.col("_k")).drop("_start", "_k")
     cut = F.floor(F.col("n").cast("double") * (F.lit(1.0) - F.lit(float(v))))
     return out.withColumn("split", F.when(F.col("pos") < cut, "train").otherwise("eval")).withColumn(
         "split_pos", F.when(F.col("pos") < cut, F.col("pos")).otherwise(F.col("pos") - cut).cast("bigint")
@@ -102,15 +133,16 @@ def encode(df: DataFrame, vocab: DataFrame, col: str, key_cols: list[str], group
            out_col: str = "ids", add_eos: bool = False) -> DataFrame:
     """D3 encode + D6: text -> ``ARRAY<BIGINT>`` ids (unknown -> 1), text column dropped.
 
-    Tokens are exploded with their position, joined to the vocabulary (broadcast only when the
-    estimate is small; otherwise a shuffle join that AQE splits for hot tokens) and re-collected
-    per row.  Each group is one sentence.
+    Tokens are exploded with their position, joined to the vocabulary and re-collected per row; each group is one
+    sentence.  The join is on (group, token, salt): the vocabulary comes ``ENCODE_SALTS`` times, so that a token that
+    makes up a third of a corpus is met by as many tasks.
     """
     g = list(group_cols)
     # explode_outer keeps rows without tokens; their null entry is skipped by collect_list.
     exploded = df.select(*g, *key_cols, F.posexplode_outer(tokens(col)).alias("_tpos", "token"))
-    v = maybe_broadcast(vocab.select(*g, "token", "id"))
-    joined = exploded.join(v, [*g, "token"], "left").withColumn("id", F.coalesce("id", F.lit(1).cast("bigint")))
+    exploded = exploded.withColumn("_salt", F.pmod(F.xxhash64(*key_cols, "_tpos"), F.lit(ENCODE_SALTS)).cast("int"))
+    v = vocab.select(*g, "token", "id", F.explode(F.sequence(F.lit(0), F.lit(ENCODE_SALTS - 1))).alias("_salt"))
+    joined = exploded.join(v, [*g, "token", "_salt"], "left").withColumn("id", F.coalesce("id", F.lit(1).cast("bigint")))
     entry = F.when(F.col("token").isNotNull(), F.struct("_tpos", "id"))
     out = joined.groupBy(*g, *key_cols).agg(
         F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["id"]).alias(out_col)

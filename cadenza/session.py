@@ -1,18 +1,15 @@
-"""Session helpers: a local session for tests, the shared scratch folder, size-checked broadcast."""
+"""Session helpers: a local session for tests, the shared scratch folder, counted broadcast."""
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Above this many bytes a side is joined with a shuffle instead of being broadcast.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "cadenza") -> SparkSession:
     """Session for tests and the bench: UTC, AQE on, UI off, scratch folder set only if unset."""
     spark = (
@@ -45,7 +42,8 @@ SCRATCH_KEY = "cadenza.scratch.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temp folder only when the session has none.
+    """The shared folder named by ``spark.checkpoint.dir``; where it is unset, an error, but for a session on one
+    machine (``local[n]``), which gets a temp folder.
 
     ``spark.checkpoint.dir`` cannot be changed on a running session, so a fallback folder is recorded
     under a package key and registered with ``setCheckpointDir``.
@@ -54,6 +52,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cadenza-scratch-")
     if spark.conf.get(SCRATCH_KEY, None) != root:
         spark.conf.set(SCRATCH_KEY, root)
@@ -73,34 +73,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan, or None when it is unknown."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:
-        return None
-
-
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only when the estimated size is known and under ``limit``; else a shuffle join."""
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
-
 def broadcast_if_few(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast a small derived table after counting it (the count is the size check).
 
-    The table is cached first so the count and the join read it once.
+    The table is checkpointed first, so the count and the join read it once and no cache is left behind.
     """
-    df = df.persist()
+    df = cut_lineage(df)
     if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder as Parquet and read back: for tables with text that are read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df`` written once to the shared folder in buckets by ``keys``: later joins on them do not move it."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unique = f"{name}_{uuid.uuid4().hex[:12]}"
+    writer = df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys)
+    writer.option("path", scratch_path(spark, name)).saveAsTable(unique)
+    return spark.table(unique)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
