@@ -59,11 +59,6 @@ def main() -> None:
     # Warm the JVM once (class loading, codegen caches) on the smallest input; not timed.
     QUERIES["c15_clean_corpus"](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
 
-    # Generation is timed with a short section (BENCH_GEN_BUDGET tokens) to keep the run bounded; the time
-    # includes fitting the model and building candidate tables, so the reported tokens/s is a lower bound.
-    import cadenza.plans.model as model_plans
-
-    model_plans.GEN_BUDGET = int(os.environ.get("BENCH_GEN_BUDGET", "8"))
     timings: dict[str, float] = {}
     for name in names:
         t0 = time.time()

@@ -8,10 +8,12 @@ Groups stop on their own once their best pair occurs fewer than twice.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import broadcast_if_few, cut_lineage
 from .training import tokens
 
 END = "</w>"
@@ -47,13 +49,14 @@ def _merge(symbols, left, right) -> F.Column:
     return F.aggregate(symbols, F.array().cast("array<string>"), step)
 
 
-def learn_bpe(words: DataFrame, k: int, group_cols=("model",), every: int = 1) -> DataFrame:
-    """Up to ``k`` merges per group -> ``(group, rank, left, right, n)``."""
+def learn_bpe(words: DataFrame, k: int | None = None, group_cols=("model",), every: int = 1) -> DataFrame:
+    """``(group, rank, left, right, n)``: merges until a group's best pair occurs fewer than twice, or the first
+    ``k`` (the vocabulary size wanted) where ``k`` is given."""
     g = list(group_cols)
     spark = words.sparkSession
     words = cut_lineage(words.select(*g, "symbols", "freq"))
     merges = []
-    for rank in range(1, k + 1):
+    for rank in itertools.count(1) if k is None else range(1, k + 1):
         best = pair_counts(words, g).groupBy(*g).agg(
             F.min_by(F.struct("left", "right", "n"), F.struct(-F.col("n"), F.col("left"), F.col("right"))).alias("b")
         ).select(*g, "b.left", "b.right", "b.n").filter(F.col("n") >= 2)
@@ -61,7 +64,7 @@ def learn_bpe(words: DataFrame, k: int, group_cols=("model",), every: int = 1) -
         if best.isEmpty():
             break
         merges.append(best)
-        chosen = F.broadcast(best.select(*g, F.col("left").alias("_l"), F.col("right").alias("_r")))
+        chosen = broadcast_if_few(best.select(*g, F.col("left").alias("_l"), F.col("right").alias("_r")))
         words = words.join(chosen, g, "left").select(
             *g, F.when(F.col("_l").isNull(), F.col("symbols")).otherwise(_merge(F.col("symbols"), F.col("_l"), F.col("_r"))).alias("symbols"), "freq"
         )

@@ -73,10 +73,7 @@ def resolved(spark, sf_dir) -> DataFrame:
 
 
 def assembled(spark, sf_dir) -> DataFrame:
-    r = resolved(spark, sf_dir)
-    lyr = G.assemble(r)
-    ideas = r.filter(F.col("pos") == 0).select("song_id", "idea")
-    return lyr.join(ideas, "song_id")
+    return G.assemble(resolved(spark, sf_dir), same=("idea",))
 
 
 @query("f1_random_window", DUCK_F1)

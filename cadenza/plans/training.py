@@ -155,10 +155,27 @@ def d4_bpe_pair_counts(spark, sf_dir):
     return bpe.pair_counts(bpe.word_table(split)).select("model", "left", "right", "n")
 
 
-BPE_MERGES = 20
-
-
-@query("d4_learn_bpe")
+BPE_MERGES = 20  # the query reports the first merges of each model; the operator runs to its stop rule by default
+
+_A, _Z = "chr(1)", "chr(2)"  # around each symbol, so that one replacement merges pairs from left to right
+DUCK_BPE = f"""(WITH RECURSIVE w AS (
+  SELECT 0 AS rank, model, array_to_string(list_transform(s, lambda x: {_A} || x || {_Z}), '') AS s, CAST(freq AS BIGINT) AS freq,
+   '' AS "left", '' AS "right", CAST(0 AS BIGINT) AS n FROM {DUCK_BPE_WORDS}
+  UNION ALL
+  SELECT rank + 1, model, replace(s, {_A} || b.l || {_Z} || {_A} || b.r || {_Z}, {_A} || b.l || b.r || {_Z}), freq, b.l, b.r, b.n
+  FROM (
+   SELECT rank, model, s, freq, any_value(b) AS b FROM (
+    SELECT *, first_value({{'l': l, 'r': r, 'n': c}}) OVER (PARTITION BY model ORDER BY c DESC NULLS LAST, l, r) AS b FROM (
+     SELECT *, CAST(CASE WHEN l IS NOT NULL THEN sum(freq) OVER (PARTITION BY model, l, r) END AS BIGINT) AS c FROM (
+      SELECT rank, model, s, freq, p[i] AS l, p[i + 1] AS r FROM (
+       SELECT rank, model, s, freq, p, unnest(CASE WHEN len(p) > 1 THEN range(1, len(p)) ELSE [0] END) AS i FROM (
+        SELECT *, regexp_extract_all(s, '[^' || {_A} || {_Z} || ']+') AS p FROM w WHERE rank < {BPE_MERGES})))))
+   GROUP BY rank, model, s, freq)
+  WHERE b.n >= 2)
+ SELECT DISTINCT model, CAST(rank AS INTEGER) AS rank, "left", "right", n FROM w WHERE rank > 0)"""
+
+
+@query("d4_learn_bpe", f"SELECT * FROM {DUCK_BPE}")
 def d4_learn_bpe(spark, sf_dir):
     from ..operators import bpe
 
