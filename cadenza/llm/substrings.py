@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import batches_of, pick
 
 MIN_WORDS = 20
@@ -23,9 +24,9 @@ MIN_WORDS = 20
 _CAPITAL = "A-ZÀ-ÖØ-ÞΑ-ΩА-Я"
 _CUT = re.compile(rf"\n+|(?<=[.!?])[\x20\t]+|[\x20\t]+(?=[{_CAPITAL}](?:[^{_CAPITAL}]|\Z))")
 
-_UNIT = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("unit", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
-                   ("words", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("again", pa.bool_())])
-_UNIT_DDL = "doc_id bigint, version bigint, unit bigint, start bigint, end bigint, words bigint, hi bigint, lo bigint, again boolean"
+_UNIT = pa.schema([("doc_id", pa.int64()), ("version", pa.int32()), ("unit", pa.int32()), ("start", pa.int32()), ("end", pa.int32()),
+                   ("words", pa.int32()), ("hi", pa.int64()), ("lo", pa.int64()), ("again", pa.bool_())])
+_UNIT_DDL = "doc_id bigint, version int, unit int, start int, end int, words int, hi bigint, lo bigint, again boolean"
 _LAST = (1 << 63) - 1  # stands for a null id, which ranks last
 
 
@@ -59,8 +60,9 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, version, start, end, units, words, first_ids) of each removed run of ``docs`` (doc_id, version, text)."""
     units = docs.mapInArrow(_hashed, _UNIT_DDL).withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST)))
     # Occurrences of a digest are combined before they are dealt; digests of one document need no second look.
-    first = units.where("not again").groupBy("hi", "lo").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    first = first.where("first_id < last_id").select("hi", "lo", "first_id")
+    first = units.where("not again").groupBy("hi", "lo").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    # Checkpointed, so that the join below is one of two shuffles and Spark may split a digest that very many units share.
+    first = cut_lineage(first.where("n > 1").select("hi", "lo", "first_id"))
     across = units.join(first, ["hi", "lo"]).where("doc_id > first_id")
     inside = units.where("again").withColumn("first_id", F.col("doc_id"))
     place = ["doc_id", "version", "unit", "start", "end", "words"]
@@ -82,7 +84,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (its kept occurrences have no id to name).  An empty table gives no rows; other columns are not read.
     """
     docs = pick(df, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    docs = docs.withColumn("version", F.xxhash64("text"))
+    docs = docs.withColumn("version", F.hash("text"))  # tells apart rows that share an id
     runs = repeats(docs, min_words).groupBy("doc_id", "version").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"),
         F.sum("units").alias("n_removed_units"), F.sum("words").alias("n_removed_words"),
