@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import first_by_hash, pick
 
 MAX_TRAIN_DOCS = 4000  # bound of the labelled sample that is fitted on the driver
 BUCKETS = 1 << 17
@@ -251,5 +251,5 @@ def training_rows(df: DataFrame, max_docs: int = MAX_TRAIN_DOCS, id_col: str = "
     """
     rows = pick(df, doc_id=id_col, text=text_col, lang=lang_col)
     rows = rows.where("lang is not null and text is not null").where(~held_out(F.col("doc_id")))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(max_docs)
+    rows = first_by_hash(rows, max_docs, "doc_id", "text")
     return [(r["text"], r["lang"]) for r in rows.select("text", "lang").collect()]
