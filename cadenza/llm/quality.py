@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import as_rows, bytes_column, pick, row_strings, with_row
+from .common import as_rows, bytes_column, first_by_hash, pick, row_strings, with_row
 
 MAX_TRAIN_DOCS = 6000  # bound of the labelled sample that is fitted on the driver
 BUCKETS = 1 << 15
@@ -168,7 +168,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAIN_
     """
     marks = pick(labels, doc_id=id_col, label=label_col).where("label is not null and doc_id is not null")
     marks = marks.where(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
+    marks = first_by_hash(marks, max_docs, "doc_id")
     texts = pick(docs, doc_id=id_col, text=text_col)
     rows = texts.join(F.broadcast(marks), "doc_id")  # at most max_docs rows of two numbers
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_docs)
