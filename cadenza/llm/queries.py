@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_parallelism, table
 from . import decontaminate as contamination
 from . import exact_dedup as exact
-from . import html_extract, langid, licenses, mixing, pii, quality, simhash, substrings
+from . import html_extract, langid, licenses, mixing, pii, quality, simhash, stretches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,4 +111,4 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register()
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.substring_dedup(_documents(spark, sf_dir))
+    return stretches.verbatim_dedup(_documents(spark, sf_dir))

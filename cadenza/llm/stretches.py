@@ -1,0 +1,210 @@
+"""Substring dedup by verbatim stretches: every stretch of ``min_words`` words that stands before goes.
+
+Words are compared in lower case, whatever blanks are between them; in scripts without blanks each character counts as
+a word.  A word goes if it lies in a stretch of ``min_words`` words that also stands in a document with a smaller id, or
+further up in its own document without overlap.  Nothing depends on where lines or sentences end, and every stretch of
+that length inside a removed run stands as a whole in one place before it.
+
+Digests of all stretches would be a row per word, so they are taken only where one can recur.  Winnowing (Schleimer et
+al. 2003) selects short word sequences such that equal stretches select the same one; those are counted over the whole
+corpus, and only stretches whose selected sequence recurs are hashed (96 bits) and compared.
+"""
+
+from __future__ import annotations
+
+import functools
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import cut_lineage
+from .common import batches_of, pick, written
+
+MIN_WORDS = 20
+GRAM = 8  # words of a selected sequence
+
+# Scripts written without blanks (Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han), and hash constants.
+_UNSPACED = ((0x0E01, 0x0EFF), (0x0F00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF),
+             (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x323AF))
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_LAST = (1 << 63) - 1  # stands for a null id, which ranks last
+
+_GRAM_ROW = pa.schema([("key", pa.int64()), ("version", pa.int64()), ("gram", pa.int64())])
+_STRETCH = pa.schema([("key", pa.int64()), ("version", pa.int64()), ("at", pa.int32()), ("hi", pa.int64()), ("lo", pa.int32()), ("again", pa.bool_())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_removed_units", pa.int64()), ("n_removed_words", pa.int64()),
+                  ("removed", pa.string()), ("first_ids", pa.list_(pa.int64()))])
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """For each code point: 0 white space, 1 part of a word, 2 a word by itself."""
+    kinds = np.ones(0x110000, np.uint8)
+    kinds[[c for c in range(0x3001) if chr(c).isspace()]] = 0
+    for first, last in _UNSPACED:
+        kinds[first : last + 1] = 2
+    return kinds
+
+
+@functools.cache
+def _powers(base: int, bits: int) -> np.ndarray:
+    powers = np.full(1 << bits, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the text in lower case (as many as before), and start and end of each word."""
+    low = text.replace("İ", "i").lower()  # the one letter whose lower case is longer
+    points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4")
+    kinds = _kinds()[points]
+    inside, alone = np.zeros(len(points) + 2, bool), kinds == 2
+    inside[1:-1] = kinds == 1
+    starts = np.flatnonzero((inside[1:-1] & ~inside[:-2]) | alone)
+    ends = np.flatnonzero((inside[1:-1] & ~inside[2:]) | alone) + 1
+    return points, starts, ends
+
+
+def selected(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch of ``min_words`` words: hash and position of its selected sequence."""
+    bits = max(12, len(points).bit_length())
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, bits)[: len(points)], dtype=np.uint64, out=sums[1:])
+    words = _mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, bits)[starts])
+    gram = min(GRAM, min_words)
+    n = len(words) - gram + 1
+    grams = np.zeros(n, np.uint64)
+    for k in range(gram):
+        grams = grams * np.uint64(_INVERSE) + words[k : k + n]
+    grams = _mixed(grams)
+    windows = np.lib.stride_tricks.sliding_window_view(grams, min_words - gram + 1)
+    places = windows.argmin(axis=1) + np.arange(len(windows))
+    return grams[places].view(np.int64), places
+
+
+def _grams(min_words: int):
+    def run(batches):
+        def rows():
+            for batch in batches:
+                for key, version, text in zip(*(batch.column(c) for c in ("key", "version", "text"))):
+                    points, starts, ends = words_of(text.as_py())
+                    if len(starts) >= min_words:
+                        key, version = key.as_py(), version.as_py()
+                        for gram in np.unique(selected(points, starts, ends, min_words)[0]).tolist():
+                            yield key, version, gram
+
+        return batches_of(rows(), _GRAM_ROW, max_rows=16384)
+
+    return run
+
+
+def _stretches(min_words: int):
+    """Digests of the stretches that can recur: in another document by ``grams``, or in their own."""
+    def of(key, version, text, elsewhere):
+        points, starts, ends = words_of(text)
+        if len(starts) < min_words:
+            return
+        grams, places = selected(points, starts, ends, min_words)
+        values, counts = np.unique(grams[np.flatnonzero(np.diff(places, prepend=-1))], return_counts=True)
+        here = np.isin(grams, values[counts > 1])
+        there = np.isin(grams, np.array(elsewhere, np.int64))
+        # Words joined by one blank, as bytes.
+        sizes = ends - starts
+        heads = np.cumsum(sizes + 1) - (sizes + 1)
+        joined = np.full(int(heads[-1] + sizes[-1]), 0x20, "<u4")
+        within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        joined[np.repeat(heads, sizes) + within] = points[np.repeat(starts, sizes) + within]
+        data, first = memoryview(joined.tobytes()), {}
+        for k in np.flatnonzero(here | there).tolist():
+            digest = xxhash.xxh3_128_digest(data[4 * int(heads[k]) : 4 * int(heads[k + min_words - 1] + sizes[k + min_words - 1])])
+            again = k >= first.setdefault(digest, k) + min_words
+            if again or there[k]:
+                yield key, version, k, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:12], "big", signed=True), again
+
+    def run(batches):
+        def rows():
+            for batch in batches:
+                for row in zip(*(batch.column(c) for c in ("key", "version", "text", "grams"))):
+                    key, version, text, grams = (x.as_py() for x in row)
+                    yield from of(key, version, text, grams or [])
+
+        return batches_of(rows(), _STRETCH, max_rows=16384)
+
+    return run
+
+
+def cut(text: str, at: list[int], min_words: int) -> tuple[str, int, list[tuple[int, int]]]:
+    """What stays without the stretches that start at the words ``at``, the number of removed words, and the runs.
+
+    A run takes the blanks behind it with it, up to a line feed.
+    """
+    _, starts, ends = words_of(text)
+    marks = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(marks, at, 1)
+    np.add.at(marks, np.array(at, np.int64) + min_words, -1)
+    gone = np.diff((np.cumsum(marks)[:-1] > 0).astype(np.int8), prepend=0, append=0)
+    kept, runs, n, last = [], [], 0, 0
+    for first, behind in zip(np.flatnonzero(gone > 0).tolist(), np.flatnonzero(gone < 0).tolist()):
+        start, end = int(starts[first]), int(ends[behind - 1])
+        following = int(starts[behind]) if behind < len(starts) else len(text)
+        feed = text.find("\n", end, following)
+        end = following if feed < 0 else feed
+        kept.append(text[last:start])
+        runs.append((start, end))
+        n, last = n + behind - first, end
+    return "".join([*kept, text[last:]]), n, runs
+
+
+def _cut_rows(min_words: int):
+    def run(batches):
+        def rows():
+            for batch in batches:
+                for row in zip(*(batch.column(c) for c in ("doc_id", "text", "at", "first_ids"))):
+                    doc_id, text, at, first_ids = (x.as_py() for x in row)
+                    kept, n, runs = cut(text, sorted(at), min_words) if at else (text, 0, [])
+                    ids = sorted(x for x in first_ids or [] if x != _LAST)
+                    yield doc_id, kept, len(at or []), n, ",".join(f"{s}:{e}" for s, e in runs), ids
+
+        return batches_of(rows(), _OUT, weight=lambda r: len(r[1]))
+
+    return run
+
+
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(key, version, at, first_ids): per row of ``docs`` (key, version, text) the words at which repeats start."""
+    grams = docs.mapInArrow(_grams(min_words), "key bigint, version bigint, gram bigint")
+    often = cut_lineage(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
+    # Checkpointed, so that the join is one of two shuffles and Spark may split a sequence that very many rows share.
+    found = grams.join(often, "gram").groupBy("key", "version").agg(F.collect_set("gram").alias("grams"))
+    rows = docs.join(found, ["key", "version"], "left").select("key", "version", "text", "grams")
+    stretches = written(rows.mapInArrow(_stretches(min_words), "key bigint, version bigint, at int, hi bigint, lo int, again boolean"), "stretches")
+    first = stretches.where("not again").groupBy("hi", "lo").agg(F.min("key").alias("first_id"), F.max("key").alias("last_id"))
+    first = cut_lineage(first.where("first_id < last_id").select("hi", "lo", "first_id"))
+    known = stretches.join(first, ["hi", "lo"], "left")
+    known = known.withColumn("first_id", F.when(F.col("key") > F.col("first_id"), F.col("first_id")).when(F.col("again"), F.col("key"))).where("first_id is not null")
+    return known.groupBy("key", "version").agg(F.collect_set("at").alias("at"), F.collect_set("first_id").alias("first_ids"))
+
+
+def verbatim_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per input row: doc_id, text, n_removed_units, n_removed_words, removed, first_ids.
+
+    ``text`` is what stays (null counts as empty), ``removed`` the runs taken out as start:end in code points of the
+    original, comma-joined, ``n_removed_units`` the repeated stretches of ``min_words`` words in them, ``first_ids`` the
+    documents that hold the stretches first.  Rows that share an id count as one document: what only they share stays,
+    and rows equal in id and text get the same result.  A null id ranks last (its first stretches have no id to name).
+    An empty table gives no rows; other columns are not read.
+    """
+    docs = pick(df, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("key"), F.xxhash64("text").alias("version"), "text")
+    found = repeats(docs.select("key", "version", "text"), min_words)
+    rows = docs.join(found, ["key", "version"], "left").select("doc_id", "text", "at", "first_ids")
+    return rows.mapInArrow(_cut_rows(min_words), "doc_id bigint, text string, n_removed_units bigint, n_removed_words bigint, removed string, first_ids array<bigint>")

@@ -1,0 +1,85 @@
+import random
+import re
+
+import pytest
+
+from cadenza.llm.stretches import verbatim_dedup
+
+from .edge import LONG, ROWS, docs_of, edge, none
+
+
+def brute(rows, n=20):
+    """rows: (id, text) with distinct ids, no unspaced scripts: word shingles, one by one."""
+    first, out = {}, {}
+    for doc_id, text in sorted(rows):
+        spans = [m.span() for m in re.finditer(r"\S+", text)]
+        words = [text[s:e].lower() for s, e in spans]
+        gone, ids = [False] * len(words), set()
+        for k in range(len(words) - n + 1):
+            owner, at = first.setdefault(tuple(words[k : k + n]), (doc_id, k))
+            if owner != doc_id or k >= at + n:
+                gone[k : k + n] = [True] * n
+                ids.add(owner)
+        stays = [words[k] for k in range(len(words)) if not gone[k]]
+        out[doc_id] = (stays, sum(gone), sorted(ids))
+    return out
+
+
+def rows_of(df):
+    return {r.doc_id: (r.text.lower().split(), r.n_removed_words, r.first_ids) for r in df.collect()}
+
+
+def test_sample_table_against_word_shingles(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    want = brute([(r.doc_id, r.text or "") for r in docs.collect()])
+    assert rows_of(verbatim_dedup(docs)) == want
+    assert any(x[1] for x in want.values())
+
+
+def test_random_texts_against_word_shingles(spark):
+    rng = random.Random(6)
+    lines = [" ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(1, 30))) for _ in range(40)]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(8))) for _ in range(300)]
+    texts += ["na " * n for n in (19, 20, 39, 40, 41, 100)] + [" ".join("abc"[k % 3] for k in range(n)) for n in (30, 61, 90)]
+    assert rows_of(verbatim_dedup(docs_of(spark, texts))) == brute(list(enumerate(texts)))
+
+
+def test_passages_inside_sentences_go_as_a_whole(spark):
+    rng = random.Random(7)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+
+    passage = words(30)  # no line, sentence or capital inside
+    texts = [f"{words(9)} {passage} {words(8)}" for _ in range(3)]
+    rows = {r.doc_id: r for r in verbatim_dedup(docs_of(spark, texts)).collect()}
+    assert rows[0].removed == ""
+    for k in (1, 2):
+        start, end = map(int, rows[k].removed.split(":"))
+        assert texts[k][start:end].strip() == passage and rows[k].first_ids == [0]
+        assert rows[k].text == texts[k][:start] + texts[k][end:]
+
+
+@pytest.mark.parametrize("first", [0x4E00, 0x3041, 0x0E01])
+def test_scripts_without_blanks_are_measured_in_characters(spark, first):
+    rng = random.Random(8)
+
+    def chars(n):
+        return "".join(chr(first + rng.randrange(40)) for _ in range(n))
+
+    passage = chars(45)
+    texts = [f"{chars(30)}{passage}\n{chars(30)}" for _ in range(2)]
+    rows = {r.doc_id: r for r in verbatim_dedup(docs_of(spark, texts)).collect()}
+    assert rows[0].removed == "" and rows[1].text == texts[1].replace(passage, "") and rows[1].n_removed_words == 45
+
+
+def test_edge_rows_and_empty_table(spark):
+    rows = verbatim_dedup(edge(spark), min_words=5).collect()
+    assert len(rows) == len(ROWS)
+    got = sorted((str(r.doc_id), r.text.split(), r.n_removed_words, r.first_ids) for r in rows)
+    house = ROWS[0][1].split()
+    assert [x for x in got if x[0] == "1"] == [("1", house, 0, [])]
+    assert [x for x in got if x[0] == "2"] == [("2", [], 9, [1])] * 2
+    assert [x for x in got if x[0] == "None"] == [("None", [], 0, []), ("None", [], 9, [1])]
+    assert next(x for x in got if x[0] == "4")[2] == len(LONG.split()) - 8
+    assert verbatim_dedup(none(spark)).count() == 0
