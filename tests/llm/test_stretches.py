@@ -83,3 +83,17 @@ def test_edge_rows_and_empty_table(spark):
     assert [x for x in got if x[0] == "None"] == [("None", [], 0, []), ("None", [], 9, [1])]
     assert next(x for x in got if x[0] == "4")[2] == len(LONG.split()) - 8
     assert verbatim_dedup(none(spark)).count() == 0
+
+
+def test_text_that_stands_nowhere_else_stays(spark):
+    """Short lines and capitalised names that each stand in another document are no repeat when joined anew."""
+    rng = random.Random(9)
+
+    def words(n):
+        return [f"{rng.choice('ABCDEFGH')}{rng.randrange(10**6)}" for _ in range(n)]
+
+    pieces = [" ".join(words(5)) + "." for _ in range(12)]
+    texts = [f"{' '.join(words(25))}\n{piece}\n{' '.join(words(25))}" for piece in pieces]
+    texts += ["\n".join(pieces), " ".join(reversed(pieces))]
+    rows = {r.doc_id: r for r in verbatim_dedup(docs_of(spark, texts)).collect()}
+    assert all((rows[k].text, rows[k].removed) == (text, "") for k, text in enumerate(texts))
