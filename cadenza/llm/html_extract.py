@@ -4,6 +4,9 @@ A page is read into blocks of text with what stands around them.  Pass one decid
 stop-word and link densities decide, and leaves short ones open.  Pass two gives each open block the label of its
 nearest decided neighbours within the same part of the page; a part that is marked up as the article keeps what its
 neighbours do not settle, any other part drops it.
+
+A class or id such as "sidebar" drops an element only where its own text agrees: names that stand on most of a page's prose
+("layout has-sidebar") belong to a wrapper.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ MARKS = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "widget toolbar pagination pager masthead skip copyright legal outbrain taboola".split()
 )
+REPLIES = frozenset("comment comments disqus replies reply".split())  # may hold more prose than the article
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 STOP_WORDS = frozenset(
     "the of and to a in is it that for on with as are was be this by at from or an not have which "
@@ -57,6 +61,8 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?
 _MARK = re.compile(r"[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACE = re.compile(r"\s+")
+_SENTENCE_END = re.compile(r"[.!?\u2026\u061f\u06d4\u0964](?=[\s\"'\u00bb\u201d\u2019)\]]|\Z)|[\u3002\uff01\uff1f]")
+_UNSPACED = re.compile(r"[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U000323af]")
 
 
 def _dropped(name: str, attributes: str, in_part: bool) -> bool:
@@ -65,8 +71,6 @@ def _dropped(name: str, attributes: str, in_part: bool) -> bool:
         return True
     for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id") and name not in ("body", "html", *PARTS) and not MARKS.isdisjoint(_MARK.findall(value)):
-            return True
         if key in ("class", "id") and name in PARTS and not MARKS.isdisjoint(_MARK.findall(value)) and "comment" in value:
             return True
         if (key == "role" and value.strip() in ROLES) or key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -76,6 +80,14 @@ def _dropped(name: str, attributes: str, in_part: bool) -> bool:
     return False
 
 
+def _marks(name: str, attributes: str) -> frozenset[str]:
+    """The names in an element's class and id that tell of something else than the article."""
+    if not attributes or name in ("body", "html", *PARTS):
+        return frozenset()
+    return MARKS.intersection(w for key, *values in _ATTRIBUTE.findall(attributes) if key.lower() in ("class", "id")
+                              for w in _MARK.findall("".join(values).lower()))
+
+
 @dataclass
 class Block:
     text: str
@@ -83,9 +95,11 @@ class Block:
     part: int  # 0 outside article and main elements, else the number of the innermost
     box: int  # number of the innermost element that is no paragraph, heading or list
     dropped: bool
+    marks: tuple[tuple[frozenset[str], int], ...] = ()  # marked elements around, outermost first: names, place in the page
+    title: bool = False  # an h1
 
 
-OUTSIDE = ("", False, 0, 0)
+OUTSIDE = ("", False, 0, 0, ())
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -93,7 +107,7 @@ def blocks_of(page: str) -> list[Block]:
     blocks: list[Block] = []
     pieces: list[str] = []
     link_pieces: list[str] = []
-    open_: list[tuple[str, bool, int, int]] = []  # block elements around: name, dropped, part, box
+    open_: list[tuple[str, bool, int, int, tuple]] = []  # block elements around: name, dropped, part, box, marks
     links, n_parts, n_boxes, at, size = 0, 0, 0, 0, len(page)
 
     def add(text: str) -> None:
@@ -106,8 +120,8 @@ def blocks_of(page: str) -> list[Block]:
         text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
         if text:
             linked = len(_SPACE.sub(" ", html.unescape("".join(link_pieces))).strip())
-            _, dropped, part, box = open_[-1] if open_ else OUTSIDE
-            blocks.append(Block(text, linked, part, box, dropped))
+            name, dropped, part, box, marks = open_[-1] if open_ else OUTSIDE
+            blocks.append(Block(text, linked, part, box, dropped, marks, name == "h1"))
         pieces.clear()
         link_pieces.clear()
 
@@ -157,25 +171,70 @@ def blocks_of(page: str) -> list[Block]:
         if name not in FLOW:
             n_boxes += 1
             box = n_boxes
-        open_.append((name, around[1] or _dropped(name, attributes, around[2] > 0), part, box))
+        marks = _marks(name, attributes)
+        open_.append((name, around[1] or _dropped(name, attributes, around[2] > 0), part, box, (*around[4], (marks, at)) if marks else around[4]))
     close_block()
+    return drop_marked(blocks)
+
+
+def drop_marked(blocks: list[Block]) -> list[Block]:
+    """Drops the blocks of marked elements, but for wrappers and what they hold.
+
+    An element is a wrapper where it is the innermost marked one around more than half of the page's prose, or, on a page
+    without prose, of the short text in article and main elements; where none is, elements of the same names count
+    together.  One of reader comments is a wrapper only where no prose stands outside of it, or where it holds the h1.
+    What is around a wrapper is one, too.
+    """
+    if not any(b.marks for b in blocks):
+        return blocks
+    free = [b for b in blocks if not b.dropped and b.linked <= LINK_SHARE * len(b.text)]
+    counted = [b for b in free if first_pass(b)] or [b for b in free if b.part]
+    total = sum(len(b.text) for b in counted)
+
+    def most(key) -> set:
+        sizes: dict = {}
+        for b in counted:
+            if b.marks and not b.marks[-1][0] & REPLIES:
+                sizes[key(b.marks[-1])] = sizes.get(key(b.marks[-1]), 0) + len(b.text)
+        return {k for k, n in sizes.items() if 2 * n > total}
+
+    wrappers = most(lambda mark: mark)
+    if not wrappers and (names := most(lambda mark: mark[0])):
+        wrappers = {mark for b in counted for mark in b.marks if mark[0] in names}
+    common = set(counted[0].marks).intersection(*(b.marks for b in counted)) if counted else set()
+    wrappers |= {mark for mark in common.union(*(b.marks for b in free if b.title)) if mark[0] & REPLIES}
+    wrappers |= {mark for b in blocks for k, mark in enumerate(b.marks) if not wrappers.isdisjoint(b.marks[k:])}
+    for b in blocks:
+        b.dropped |= not wrappers.issuperset(b.marks)
     return blocks
 
 
+def prose_length(text: str) -> int:
+    """Characters; one of a script without blanks counts as three."""
+    return len(text) + (0 if text.isascii() else 2 * len(_UNSPACED.findall(text)))
+
+
+def sentences(text: str) -> bool:
+    """Whether a long text of any language is made of sentences, by their marks; Thai and its like have none."""
+    n = len(_SENTENCE_END.findall(text))
+    letters = 0 if text.isascii() else len(_UNSPACED.findall(text))
+    return 2 * letters > len(text) or (n > 0 and 25 * n <= prose_length(text) <= 400 * n)
+
+
 def first_pass(block: Block) -> bool | None:
     """True: article; False: not; None: open."""
     if block.dropped:
         return False
     if block.linked > LINK_SHARE * len(block.text):
         return False
-    if len(block.text) < LONG_CHARS:
+    if prose_length(block.text) < LONG_CHARS:
         return None
     words = [w.lower() for w in _WORD.findall(block.text)]
     stops = sum(w in STOP_WORDS for w in words)
     if stops >= STOP_SHARE * max(1, len(words)):
         return True
-    # Long text without stop words (tables, lists, other languages) is decided only by where it stands.
-    return True if block.part else None
+    # Other languages show by their sentences; tables and lists are decided only by where they stand.
+    return True if block.part or sentences(block.text) else None
 
 
 def second_pass(blocks: list[Block], labels: list[bool | None]) -> list[bool]:

@@ -50,3 +50,22 @@ def test_edge_rows_and_empty_table(spark):
     got = extract(spark.createDataFrame(rows, ddl)).collect()
     assert sorted((str(r.page_id), r.n_chars) for r in got) == [("1", 0), ("2", len(PROSE)), ("2", 3000 * (len(PROSE) + 1) - 1), ("None", 0)]
     assert extract(spark.createDataFrame([], ddl)).count() == 0
+
+
+RUSSIAN = "Река течёт через старую долину, и люди живут здесь очень давно. Каждое утро рыбаки выходят на берег. Потом они идут домой."
+CHINESE = "这条河流经过古老的山谷，人们在这里生活了很久。每天早晨渔夫来到岸边。"
+ITALIAN = "Ogni mattina i pescatori scendono verso il fiume vecchio, poi tornano a casa quando fa buio. Nessuno ricorda quando arrivarono."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='layout has-sidebar'><div class=sidebar>Links of today</div><article><h1>Head</h1><p>{PROSE}</p></article></div>", f"Head\n{PROSE}"),
+    (f"<div id=page class='site social-page'><div class=content><h2>Head</h2><p>{PROSE}</p><p>{PROSE}</p></div><div class=newsletter>{PROSE}</div></div>", f"Head\n{PROSE}\n{PROSE}"),
+    (f"<div class='post comments-open'><h1>Head</h1><p>{PROSE}</p></div><div class=comments><p>{PROSE}</p><p>{PROSE}</p></div>", f"Head\n{PROSE}"),
+    (f"<div class='post comments-open'><p>{PROSE}</p><div class=comments><p>{PROSE}</p></div></div>", PROSE),
+    (f"<div class='layout has-sidebar'><div><p>{PROSE}</p><p>{PROSE}</p></div><div class=sidebar>{PROSE}</div></div>", f"{PROSE}\n{PROSE}"),
+    (f"<div>{''.join(f'<div class=text-widget><p>{PROSE}</p></div>' for _ in range(3))}<div class=cookies>{PROSE}</div></div>", f"{PROSE}\n{PROSE}\n{PROSE}"),
+    ("<div class='page no-banner'><article><p>Only short.</p></article></div>", "Only short."),
+    *((f"<nav><a href=x>Home</a></nav><div><h2>A</h2><p>{t}</p><p>{t}</p></div><footer>2020</footer>", f"A\n{t}\n{t}") for t in (RUSSIAN, CHINESE, ITALIAN)),
+])
+def test_wrappers_and_other_languages_keep_their_articles(page, text):
+    assert main_text(page) == text
