@@ -119,7 +119,7 @@ _SPOKEN = re.compile(
 _SAID_AT, _SAID_DOT = re.compile(rf"\x20(?:{_AT})\x20", re.I), re.compile(rf"\x20(?:{_DOT})\x20", re.I)
 _DIGIT_DOT = re.compile(rf"(?<=[0-9])\x20(?:{_DOT})\x20(?=[0-9])", re.I)
 _SPACED_AT = re.compile(r"(?<=[A-Za-z0-9])\x20?@\x20?(?=[A-Za-z0-9])")
-_HINT = re.compile(rf"[^\x00-\x7f]|[\[({{<]\x20?(?:{_AT}|{_DOT}|@|\.)|\x20(?:{_DOT})\x20|\x20@|@\x20|(?<!\w)(?:{_DIGIT_WORD})[\x20,.-]{{1,2}}(?:{_DIGIT_WORD})(?!\w)", re.I)
+_HINT = re.compile(rf"[^\x00-\x7f]|[\[({{<]\x20?(?:{_AT}|{_DOT}|@|\.)|\x20(?:{_DOT})\x20|\x20@|@\x20|(?<!\w)(?:{_DIGIT_WORD})[\x20,.-]{{1,2}}(?:{_DIGIT_WORD})(?!\w)|{_PLUS.pattern}", re.I)
 
 
 class _LookAlikes(dict):
@@ -168,8 +168,7 @@ class Traced:
 
 def _digits(m: re.Match) -> str | None:
     found = [_DIGIT_OF[w.lower()] for w in _ONE_SPELLED.findall(m.group())]
-    # A word repeated over and over is no number.
-    return "".join(found) if len(found) >= 3 and (len(found) < 6 or len(set(found)) >= 3) else None
+    return "".join(found) if len(found) >= 3 else None
 
 
 _PASSES = (
@@ -198,6 +197,8 @@ def disguised(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, in
     taken = {kind: [(s, e) for s, e, k in base if k == kind] for kind in KINDS}
     added = []
     for s, e, kind in identifiers(traced.text):
+        if kind in ("card", "phone") and len(set(_NOT_DIGIT.sub("", traced.text[s:e]))) == 1:
+            continue  # a word repeated over and over is no number
         start, end = traced.starts[s], traced.ends[e - 1]
         if not any(a < end and start < b for a, b in taken[kind]):
             added.append((start, end, kind))

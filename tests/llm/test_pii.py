@@ -90,3 +90,13 @@ def test_edge_rows_and_empty_table(spark):
     rows = pii.find_pii(edge(spark)).collect()
     assert len(rows) == len(ROWS) and {r.spans for r in rows} == {""}
     assert pii.find_pii(none(spark)).count() == 0
+
+
+@pytest.mark.parametrize("text, span", [
+    ("call plus 49 170 1234567 now", "phone:plus 49 170 1234567"),
+    ("pay four one one one one one one one one one one one one one one one now", "card:four" + " one" * 15),
+    ("call plus 1 " + " ".join(["five"] * 10), "phone:plus 1 " + " ".join(["five"] * 10)),
+    ("oh " * 16, None), ("plus " + "one " * 12, None), ("two plus 2 is four", None),
+])
+def test_hint_and_spelled_digits_cover_the_passes(text, span):
+    assert [f"{k}:{text[s:e]}" for s, e, k in pii.disguised(text, pii.identifiers(text))] == ([span] if span else [])
