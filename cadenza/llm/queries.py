@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_parallelism, table
 from . import decontaminate as contamination
 from . import exact_dedup as exact
-from . import html_extract, langid, lexical, licenses, merkle, mixing, pii, quality, sentencepieces, simhash, stretches
+from . import html_extract, langid, lexical, licenses, merkle, mixing, pii, quality, sentencepieces, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,7 +111,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register()
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stretches.verbatim_dedup(_documents(spark, sf_dir))
+    return substrings.substring_dedup(_documents(spark, sf_dir))
 
 
 # Runs of ASCII letters and digits and of all characters beyond ASCII, A-Z in lower case.

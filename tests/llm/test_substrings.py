@@ -6,27 +6,81 @@ from cadenza.llm.substrings import substring_dedup, units_of
 from .edge import LONG, ROWS, docs_of, edge, none
 
 
+def cut_by_hand(text):
+    """Units by walking the characters: an own rule, not the operator's pattern."""
+    out, at, k = [], 0, 0
+    while k < len(text):
+        if text[k] == "\n":
+            while k < len(text) and text[k] == "\n":
+                k += 1
+        elif text[k] in " \t" and k and text[k - 1] in ".!?…":
+            while k < len(text) and text[k] in " \t":
+                k += 1
+        elif k and text[k - 1] in "。！？" and k > at:
+            pass
+        else:
+            k += 1
+            continue
+        out.append((at, k))
+        at = k
+        if k < len(text) and text[k - 1] in "。！？":
+            k += 1
+    out.append((at, len(text)))
+    return [(s, e, text[s:e].lower().split()) for s, e in out if text[s:e].split()]
+
+
 def brute(rows, min_words=20):
-    """rows: (id, text) with distinct ids."""
-    owner = {}
-    for doc_id, text in sorted(rows):
-        for _, _, words in units_of(text):
-            owner.setdefault(tuple(words), doc_id)
+    """rows: (id, text) with distinct ids; every run is searched for as consecutive units of its first document."""
+    units = {d: cut_by_hand(t) for d, t in rows}
+    firsts = {}
+    for d in sorted(units):
+        for k, (_, _, words) in enumerate(units[d]):
+            if len(words) >= min_words:
+                firsts.setdefault((tuple(words),), (d, k))
+            if k + 1 < len(units[d]):
+                firsts.setdefault((tuple(words), tuple(units[d][k + 1][2])), (d, k))
     out = {}
-    for doc_id, text in rows:
-        seen, runs, run = set(), [], []
-        for start, end, words in units_of(text):
-            repeat = owner[tuple(words)] != doc_id or tuple(words) in seen
-            seen.add(tuple(words))
-            if repeat:
-                run.append((start, end, len(words), owner[tuple(words)]))
+    for d, text in rows:
+        mine, gone, from_, place = units[d], set(), set(), {}
+        for k, (_, _, words) in enumerate(mine):
+            own = {}
+            for size in (1, 2):
+                key = tuple(tuple(u[2]) for u in mine[k : k + size])
+                if len(key) < size or (size == 1 and len(words) < min_words):
+                    continue
+                where = firsts[key]
+                if where[0] == d:
+                    where = next((d, j) for j in range(k + 1) if tuple(tuple(u[2]) for u in mine[j : j + size]) == key)
+                    if k - where[1] < size:
+                        continue
+                own[size] = where
+            if 1 in own:
+                gone.add(k)
+                from_.add(own[1][0])
+            place[k] = own.get(2)
+        k = 0
+        while k < len(mine):
+            if place[k]:
+                j = k
+                while j + 1 < len(mine) and place[j + 1] == (place[j][0], place[j][1] + 1):
+                    j += 1
+                if sum(len(mine[i][2]) for i in range(k, j + 2)) >= min_words:
+                    gone |= set(range(k, j + 2))
+                    from_.add(place[k][0])
+                k = j + 1
+            else:
+                k += 1
+        spans = []
+        for k in sorted(gone):
+            s, e, _ = mine[k]
+            if spans and spans[-1][1] >= s:
+                spans[-1][1] = e
             else:
-                runs, run = [*runs, run], []
-        runs = [r for r in [*runs, run] if sum(x[2] for x in r) >= min_words]
+                spans.append([s, e])
         kept, at = "", 0
-        for r in runs:
-            kept, at = kept + text[at : r[0][0]], r[-1][1]
-        out[doc_id] = (kept + text[at:], ",".join(f"{r[0][0]}:{r[-1][1]}" for r in runs), sorted({x[3] for r in runs for x in r}))
+        for s, e in spans:
+            kept, at = kept + text[at:s], e
+        out[d] = (kept + text[at:], ",".join(f"{s}:{e}" for s, e in spans), sorted(from_))
     return out
 
 
@@ -35,28 +89,27 @@ def rows_of(df):
 
 
 def test_units_cover_words_in_order():
-    text = "One two. Three four\n\nfive Six SEVEN!! eight. nine É x"
-    found = list(units_of(text))
-    assert [" ".join(w) for _, _, w in found] == ["one two.", "three four", "five", "six seven!!", "eight.", "nine", "é x"]
-    assert "".join(text[s:e] for s, e, _ in found) == text
+    text = "One two. Three four\n\nfive Six SEVEN!! eight. nine É x 漢字。かな。"
+    assert [(s, e) for s, e, _ in units_of(text)] == [(s, e) for s, e, _ in cut_by_hand(text)]
+    assert "".join(text[s:e] for s, e, _ in units_of(text)) == text
 
 
 def test_sample_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    want = brute([(r.doc_id, r.text or "") for r in docs.collect()])
     assert rows_of(substring_dedup(docs)) == want
     assert any(x[1] for x in want.values())
 
 
-def test_shared_passages_are_caught_and_clean_texts_stay(spark):
-    rng = random.Random(5)
+def sentence(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)).capitalize() + "."
 
-    def sentence(n):
-        return " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)).capitalize() + "."
 
-    passage = " ".join(sentence(9) for _ in range(7))
-    clean = [" ".join(sentence(12) for _ in range(6)) for _ in range(20)]
-    holders = [f"{sentence(10)} {sentence(4).lower()[:-1]} {passage} {sentence(5).lower()} {sentence(11)}" for _ in range(10)]
+def test_shared_passages_are_caught_and_clean_texts_stay(spark):
+    rng = random.Random(5)
+    passage = " ".join(sentence(rng, 9) for _ in range(7))
+    clean = [" ".join(sentence(rng, 12) for _ in range(6)) for _ in range(20)]
+    holders = [f"{sentence(rng, 10)} {sentence(rng, 4)} {passage} {sentence(rng, 5).lower()} {sentence(rng, 11)}" for _ in range(10)]
     rows = rows_of(substring_dedup(docs_of(spark, [*clean, *holders])))
     assert all(rows[k] == (clean[k], "", []) for k in range(20))
     assert rows[20][1] == ""
@@ -66,6 +119,13 @@ def test_shared_passages_are_caught_and_clean_texts_stay(spark):
         assert text[start:end].strip() == passage and rows[k][2] == [20] and rows[k][0] == text[:start] + text[end:]
 
 
+def test_units_of_several_documents_are_no_run(spark):
+    rng = random.Random(8)
+    parts = [sentence(rng, 9) for _ in range(4)]
+    texts = [f"{sentence(rng, 6)} {p} {sentence(rng, 6)}" for p in parts] + [" ".join(parts)]
+    assert rows_of(substring_dedup(docs_of(spark, texts)))[4] == (texts[4], "", [])
+
+
 def test_hot_passage_against_brute_force(spark):
     rng = random.Random(6)
     lines = [" ".join(f"w{rng.randrange(50)}" for _ in range(rng.randrange(1, 30))) for _ in range(40)]
