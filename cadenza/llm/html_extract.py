@@ -31,7 +31,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr img br nobr ruby rt rp".split()
 )
-DROPPED = frozenset("nav footer aside form menu dialog select button fieldset svg canvas object audio video map head figcaption".split())
+DROPPED = frozenset("nav footer aside form menu dialog select button fieldset svg canvas object audio video map head".split())
+FOREIGN = frozenset("svg math".split())
 PARTS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FLOW = frozenset("p ul ol li dl dt dd blockquote pre h1 h2 h3 h4 h5 h6".split())
@@ -57,7 +58,7 @@ _TOKEN = re.compile(
     r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)(>|\Z)",  # tag with a stray quote
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _MARK = re.compile(r"[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _SPACE = re.compile(r"\s+")
@@ -65,12 +66,16 @@ _SENTENCE_END = re.compile(r"[.!?\u2026\u061f\u06d4\u0964](?=[\s\"'\u00bb\u201d\
 _UNSPACED = re.compile(r"[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U000323af]")
 
 
-def _dropped(name: str, attributes: str, in_part: bool) -> bool:
+def attributes_of(text: str) -> list[tuple[str, str]]:
+    """(name, value) of a tag's attributes, read one after the other, in lower case."""
+    return [(key.lower(), "".join(values).lower()) for key, *values in _ATTRIBUTE.findall(text)] if text else []
+
+
+def _dropped(name: str, attributes: list[tuple[str, str]], in_part: bool) -> bool:
     """Whether an element's name or attributes say that it holds no article text."""
     if name in DROPPED or (name == "header" and not in_part):
         return True
-    for key, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        key, value = key.lower(), "".join(values).lower()
+    for key, value in attributes:
         if key in ("class", "id") and name in PARTS and not MARKS.isdisjoint(_MARK.findall(value)) and "comment" in value:
             return True
         if (key == "role" and value.strip() in ROLES) or key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -80,12 +85,40 @@ def _dropped(name: str, attributes: str, in_part: bool) -> bool:
     return False
 
 
-def _marks(name: str, attributes: str) -> frozenset[str]:
+def _marks(name: str, attributes: list[tuple[str, str]]) -> frozenset[str]:
     """The names in an element's class and id that tell of something else than the article."""
     if not attributes or name in ("body", "html", *PARTS):
         return frozenset()
-    return MARKS.intersection(w for key, *values in _ATTRIBUTE.findall(attributes) if key.lower() in ("class", "id")
-                              for w in _MARK.findall("".join(values).lower()))
+    return MARKS.intersection(w for key, value in attributes if key in ("class", "id") for w in _MARK.findall(value))
+
+
+@dataclass(eq=False)
+class Mark:
+    """A marked element: its names, and the marked element around it.  Its number follows that one's."""
+
+    names: frozenset[str]
+    around: Mark | None
+    number: int
+
+
+def outwards(mark: Mark | None, seen: set[Mark]):
+    """The marked elements from ``mark`` outwards that are not in ``seen``, which takes them up."""
+    while mark and mark not in seen:
+        seen.add(mark)
+        yield mark
+        mark = mark.around
+
+
+@dataclass
+class Around:
+    """An open block element, with what holds for the blocks in it."""
+
+    name: str = ""
+    dropped: bool = False
+    part: int = 0
+    box: int = 0
+    mark: Mark | None = None
+    main: bool = False
 
 
 @dataclass
@@ -95,11 +128,12 @@ class Block:
     part: int  # 0 outside article and main elements, else the number of the innermost
     box: int  # number of the innermost element that is no paragraph, heading or list
     dropped: bool
-    marks: tuple[tuple[frozenset[str], int], ...] = ()  # marked elements around, outermost first: names, place in the page
-    title: bool = False  # an h1
+    mark: Mark | None = None  # the innermost marked element around
+    main: bool = False  # inside a main element
+    element: str = ""  # the innermost element
 
 
-OUTSIDE = ("", False, 0, 0, ())
+OUTSIDE = Around()
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -107,24 +141,31 @@ def blocks_of(page: str) -> list[Block]:
     blocks: list[Block] = []
     pieces: list[str] = []
     link_pieces: list[str] = []
-    open_: list[tuple[str, bool, int, int, tuple]] = []  # block elements around: name, dropped, part, box, marks
-    links, n_parts, n_boxes, at, size = 0, 0, 0, 0, len(page)
+    open_: list[Around] = []  # block elements around
+    counts: dict[str, int] = {}  # open elements by name
+    links, n_parts, n_boxes, n_marks, at, size = 0, 0, 0, 0, 0, len(page)
 
     def add(text: str) -> None:
         if text:
+            text = html.unescape(text)  # a reference ends where a tag begins
             pieces.append(text)
             if links:
                 link_pieces.append(text)
 
     def close_block() -> None:
-        text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
+        text = _SPACE.sub(" ", "".join(pieces)).strip()
         if text:
-            linked = len(_SPACE.sub(" ", html.unescape("".join(link_pieces))).strip())
-            name, dropped, part, box, marks = open_[-1] if open_ else OUTSIDE
-            blocks.append(Block(text, linked, part, box, dropped, marks, name == "h1"))
+            linked = len(_SPACE.sub(" ", "".join(link_pieces)).strip())
+            e = open_[-1] if open_ else OUTSIDE
+            blocks.append(Block(text, linked, e.part, e.box, e.dropped, e.mark, e.main, e.name))
         pieces.clear()
         link_pieces.clear()
 
+    def leave() -> str:
+        name = open_.pop().name
+        counts[name] -= 1
+        return name
+
     while at < size:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -147,10 +188,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         close_block()
         if closing:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    del open_[k:]
-                    break
+            if counts.get(name):
+                while leave() != name:
+                    pass
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
@@ -158,21 +198,27 @@ def blocks_of(page: str) -> list[Block]:
                 break
             at = end.start()
             continue
-        if name in VOID or attributes.endswith("/"):
+        if name in VOID or (name in FOREIGN and attributes.endswith("/")):  # a slash at a tag's end closes nothing else
             continue
         links = 0
         if name == "p" or name in HEADINGS or name == "li":  # these end an open one of their kind
-            while open_ and (open_[-1][0] == "p" or open_[-1][0] in HEADINGS or open_[-1][0] == name == "li"):
-                open_.pop()
+            while open_ and (open_[-1].name == "p" or open_[-1].name in HEADINGS or open_[-1].name == name == "li"):
+                leave()
         around = open_[-1] if open_ else OUTSIDE
-        if name in PARTS and not around[1]:
+        if name in PARTS and not around.dropped:
             n_parts += 1
-        part, box = n_parts if name in PARTS else around[2], around[3]
+        part, box = n_parts if name in PARTS else around.part, around.box
         if name not in FLOW:
             n_boxes += 1
             box = n_boxes
-        marks = _marks(name, attributes)
-        open_.append((name, around[1] or _dropped(name, attributes, around[2] > 0), part, box, (*around[4], (marks, at)) if marks else around[4]))
+        found = attributes_of(attributes)
+        mark = around.mark
+        if names := _marks(name, found):
+            n_marks += 1
+            mark = Mark(names, around.mark, n_marks)
+        dropped = around.dropped or _dropped(name, found, around.part > 0)
+        open_.append(Around(name, dropped, part, box, mark, around.main or (name == "main" and not dropped)))
+        counts[name] = counts.get(name, 0) + 1
     close_block()
     return drop_marked(blocks)
 
@@ -185,7 +231,7 @@ def drop_marked(blocks: list[Block]) -> list[Block]:
     together.  One of reader comments is a wrapper only where no prose stands outside of it, or where it holds the h1.
     What is around a wrapper is one, too.
     """
-    if not any(b.marks for b in blocks):
+    if not any(b.mark for b in blocks):
         return blocks
     free = [b for b in blocks if not b.dropped and b.linked <= LINK_SHARE * len(b.text)]
     counted = [b for b in free if first_pass(b)] or [b for b in free if b.part]
@@ -194,18 +240,34 @@ def drop_marked(blocks: list[Block]) -> list[Block]:
     def most(key) -> set:
         sizes: dict = {}
         for b in counted:
-            if b.marks and not b.marks[-1][0] & REPLIES:
-                sizes[key(b.marks[-1])] = sizes.get(key(b.marks[-1]), 0) + len(b.text)
+            if b.mark and not b.mark.names & REPLIES:
+                sizes[key(b.mark)] = sizes.get(key(b.mark), 0) + len(b.text)
         return {k for k, n in sizes.items() if 2 * n > total}
 
     wrappers = most(lambda mark: mark)
-    if not wrappers and (names := most(lambda mark: mark[0])):
-        wrappers = {mark for b in counted for mark in b.marks if mark[0] in names}
-    common = set(counted[0].marks).intersection(*(b.marks for b in counted)) if counted else set()
-    wrappers |= {mark for mark in common.union(*(b.marks for b in free if b.title)) if mark[0] & REPLIES}
-    wrappers |= {mark for b in blocks for k, mark in enumerate(b.marks) if not wrappers.isdisjoint(b.marks[k:])}
+    if not wrappers and (names := most(lambda mark: mark.names)):
+        seen: set[Mark] = set()
+        wrappers = {mark for b in counted for mark in outwards(b.mark, seen) if mark.names in names}
+    seen = set()
+    wrappers |= {mark for b in free if b.element == "h1" for mark in outwards(b.mark, seen) if mark.names & REPLIES}
+    # Those around all of the prose: each element's count is handed outwards, the innermost first.
+    inside: dict[Mark, int] = {}
+    seen = set()
+    for b in counted:
+        if b.mark:
+            inside[b.mark] = inside.get(b.mark, 0) + 1
+    for mark in sorted((m for b in counted for m in outwards(b.mark, seen)), key=lambda m: -m.number):
+        if mark.around:
+            inside[mark.around] = inside.get(mark.around, 0) + inside[mark]
+    wrappers |= {mark for mark, n in inside.items() if n == len(counted) and mark.names & REPLIES}
+    seen = set()
+    wrappers |= {outer for mark in wrappers for outer in outwards(mark, seen)}
+    kept: dict[Mark, bool] = {}  # whether an element and all marked ones around it are wrappers
+    seen = set()
+    for mark in sorted((m for b in blocks for m in outwards(b.mark, seen)), key=lambda m: m.number):
+        kept[mark] = mark in wrappers and (mark.around is None or kept[mark.around])
     for b in blocks:
-        b.dropped |= not wrappers.issuperset(b.marks)
+        b.dropped |= b.mark is not None and not kept[b.mark]
     return blocks
 
 
@@ -226,7 +288,8 @@ def first_pass(block: Block) -> bool | None:
     if block.dropped:
         return False
     if block.linked > LINK_SHARE * len(block.text):
-        return False
+        # A short paragraph of an article may be a link; a list of links is a menu.
+        return None if block.part and block.element == "p" and prose_length(block.text) < LONG_CHARS else False
     if prose_length(block.text) < LONG_CHARS:
         return None
     words = [w.lower() for w in _WORD.findall(block.text)]
@@ -272,6 +335,8 @@ def main_text(page: str) -> str:
     if any(label and b.part for b, label in zip(blocks, labels)):
         # A page that marks its article up has no article text outside of it.
         labels = [label and b.part > 0 for b, label in zip(blocks, labels)]
+    if any(label and b.main for b, label in zip(blocks, labels)):
+        labels = [label and b.main for b, label in zip(blocks, labels)]  # article cards beside main tell of other pages
     return "\n".join(b.text for b, label in zip(blocks, labels) if label)
 
 

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -39,11 +40,40 @@ def test_rules(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    *((f"<body>menu<article {a}><p>{PROSE}</p></article>", PROSE) for a in ('title="The hidden valley"', "onclick=\"toggle('hidden')\"", 'data-id="comments"', 'data-hidden="x"', "data-href=/x/")),
+    *((f"<body><p {a}>{PROSE}</p>", PROSE) for a in ('data-hidden="false"', 'data-id="comments"', 'title="class=sidebar"')),
+    (f"<p>out of it</p><article data-href=/x/><p>{PROSE}</p></article><div>{PROSE}</div>", PROSE),
+    (f"<article><p>{PROSE}</p><figure><img src=x><figcaption>The river.</figcaption></figure><p>{PROSE}</p></article>", f"{PROSE}\nThe river.\n{PROSE}"),
+    (f"<main><p>{PROSE}</p></main><article><h3><a href=x>Other</a></h3><p>{PROSE}</p></article>", PROSE),
+    (f"<article><p>{PROSE}</p><p><a href=x>The report of the year</a>.</p><p>{PROSE}</p></article>", f"{PROSE}\nThe report of the year.\n{PROSE}"),
+    (f"<article><p>{PROSE}</p><ul><li><a href=x>More of it</a></li></ul></article><nav><a href=x>Home</a></nav>", PROSE),
+    (f"<article><p>{PROSE} AT&<i>copy</i> and &am<b>p;</b> &amp;amp;</p></article>", f"{PROSE} AT&copy and &amp; &amp;"),
+    (f"<article><svg/><img/><p/>{PROSE}</article>", PROSE),
+    (f"<div hidden=''>{PROSE}</div><div aria-hidden=TRUE>{PROSE}</div><p>{PROSE}</p>", PROSE),
+])
+def test_attributes_cards_links_and_references(page, text):
+    assert main_text(page) == text
+
+
+def seconds(page):
+    start = time.process_time()
+    main_text(page)
+    return time.process_time() - start
+
+
 def test_hostile_pages_end():
     for page in ("<div " * 50_000, "<a href='" * 20_000, "<!--" * 50_000, "<p>" * 50_000 + PROSE, "<" * 100_000, "<script>" * 10_000):
         main_text(page)
 
 
+@pytest.mark.parametrize("unit, end", [("<div>x</b></q></section>", ""), ("<div class=menu>", PROSE), (f"<div class=menu><p>{PROSE}</p>", ""), ("<article>", PROSE), ("<li class=nav>x", "")])
+def test_time_grows_with_the_page(unit, end):
+    seconds(unit * 200 + end)
+    assert seconds(unit * 16_000 + end) < 10 * max(0.1, seconds(unit * 4_000 + end))
+    assert seconds(unit * 16_000 + end) < 8
+
+
 def test_edge_rows_and_empty_table(spark):
     ddl = "page_id bigint, url string, html string, text string, n_chars string"
     rows = [(1, None, None, "X", "Y"), (None, "u", "", "X", "Y"), (2, "u", f"<p>{PROSE}</p>" * 3000, "X", "Y"), (2, "u", f"<p>{PROSE}</p>", "X", "Y")]
