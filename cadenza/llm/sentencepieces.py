@@ -38,6 +38,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 MARK = "▁"
 BROKEN = "�"
+NEVER = float("-inf")  # the rank of a pair that is no piece
 
 
 class CharacterMap:
@@ -101,6 +102,7 @@ class Codec:
         blanks_lead = all(right != MARK or left == MARK for left, right in self.pairs)
         self.word = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+" if blanks_lead else r"(?s).+")
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         # By id: normalised bytes (for a byte piece 1), the bytes that decoding writes, and whether a byte piece.
         self.sizes = np.array([1 if p.type == BYTE else len(p.piece.encode()) for p in model.pieces], np.int64)
         surface = {UNKNOWN: model.trainer_spec.unk_surface, CONTROL: ""}
@@ -170,9 +172,9 @@ class Codec:
         Where a character is written as bytes, the last of them holds the character and the others are empty.
         """
         normal, origin = self.normalise(data)
+        if len(self.known) > KNOWN_WORDS // 2:  # words not met since the last turn are forgotten
+            self.known, self.older = {}, self.known
         known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
         parts = self.word.findall(normal.decode("utf-8", "replace"))
         found = [known.get(w) or self._learn(w) for w in parts]
         ids = np.fromiter(itertools.chain.from_iterable(found), np.int32)
@@ -205,20 +207,35 @@ class Codec:
         return starts, ends
 
     def _learn(self, word: str) -> tuple[int, ...]:
+        if len(word) <= KNOWN_CHARS:
+            ids = self.known[word] = self.older.get(word) or tuple(self._merged(word))
+            return ids
         pairs, last, ids = self.pairs, 0, []
         for k in range(1, len(word)):
             if (word[k - 1], word[k]) not in pairs:
                 ids += self._merged(word[last:k])
                 last = k
-        ids = tuple(ids + self._merged(word[last:]))
-        if len(word) <= KNOWN_CHARS:
-            self.known[word] = ids
-        return ids
+        return tuple(ids + self._merged(word[last:]))
 
     def _merged(self, part: str) -> list[int]:
         """Pieces of a part: the best-scored pair of neighbours is merged, the leftmost of equals, until none is a piece."""
-        if len(part) == 1:
-            return self._of(part)
+        if len(part) > KNOWN_CHARS:
+            return self._merged_by_heap(part)
+        score, symbols = self.scores.get, list(part)
+        ranks = [score(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while ranks and (best := max(ranks)) > NEVER:
+            at = ranks.index(best)
+            merged = symbols[at] + symbols.pop(at + 1)
+            symbols[at] = merged
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = score(merged + symbols[at + 1], NEVER)
+            if at:
+                ranks[at - 1] = score(symbols[at - 1] + merged, NEVER)
+        known = self.ids
+        return [i for s in symbols for i in ((known[s],) if s in known else self._of(s))]
+
+    def _merged_by_heap(self, part: str) -> list[int]:
         symbols, scores, n = list(part), self.scores, len(part)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(-scores[pair], k, k + 1, 2) for k in range(n - 1) if (pair := part[k : k + 2]) in scores]
