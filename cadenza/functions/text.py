@@ -1,7 +1,7 @@
 """Column expressions for line filters (B), text repair (C1), sanitising (C2-C9) and sentence rules.
 
-Everything here returns a ``Column`` built from JVM-side functions, so a whole cleaning chain is one
-projection inside whole-stage codegen.  Python ``str`` semantics are kept where they differ from Java:
+Everything here returns a ``Column`` built from JVM-side functions, so a whole cleaning chain is one projection without
+Python (rules on the array of lines are lambdas, which Spark interprets; the text rules behind them are compiled).  Python ``str`` semantics are kept where they differ from Java:
 Unicode whitespace (``str.isspace``), Unicode digits, ``.`` that stops only at ``\\n``.
 """
 
@@ -181,10 +181,11 @@ def _replace_all(c: Column, rules) -> Column:
     return c
 
 
-def repair_text(c) -> Column:
+def repair_text(c, has_less: Column | None = None) -> Column:
+    """``has_less`` tells whether the whole text holds ``<`` where ``c`` is only a part of it."""
     c = _c(c)
     c = _replace_all(c, MOJIBAKE_RULES)
-    c = F.when(c.contains("<"), c).otherwise(_replace_all(c, ENTITY_RULES))
+    c = F.when(c.contains("<") if has_less is None else has_less, c).otherwise(_replace_all(c, ENTITY_RULES))
     c = _replace_all(c, LIGATURE_RULES)
     return F.translate(c, WIDE_FROM, WIDE_TO)
 

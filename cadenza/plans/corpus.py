@@ -242,6 +242,14 @@ def c15_clean_corpus_injected(spark, sf_dir):
     return S.clean_corpus(injected(spark, sf_dir))
 
 
+@query("c15_clean_lines", DUCK_CLEAN_INJECTED)
+def c15_clean_lines(spark, sf_dir):
+    """C15 from numbered lines instead of whole texts."""
+    from ..operators.lines import clean_lines
+
+    return clean_lines(raw_lines(injected(spark, sf_dir)))
+
+
 @query(
     "c11_merge_abbrev",
     f"""WITH s AS ({DUCK_CLEAN_INJECTED}),

@@ -7,11 +7,11 @@ import hashlib
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators.training import global_position
+from ..operators.training import global_cumsum
 from ..session import broadcast_if_few, scratch_root
 
 
@@ -35,37 +35,41 @@ def _is_dir(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
 
 
-def _ordered(df: DataFrame, key: str, pos_col: str) -> DataFrame:
-    """Number rows of each file in file order: (block start, scan order) is unique and ordered."""
-    d = df.withColumn("_blk", F.col("_metadata.file_block_start")).withColumn("_mid", F.monotonically_increasing_id())
-    return global_position(d, ["_blk", "_mid"], [key], pos_col).drop("_blk", "_mid")
+def _numbered(df: DataFrame, pos_col: str) -> DataFrame:
+    """Number the rows of each file in file order without moving them.
+
+    A split of a file (``file_block_start``) is read by one task from front to back, so a row's place is its place in the
+    split plus the rows of the file's earlier splits, and those come from a table with one row per split.  Should the
+    file be split in another way when it is read again, the job fails instead of numbering wrongly.
+    """
+    at = F.monotonically_increasing_id()
+    d = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_blk"), at.alias("_mid"))
+    splits = d.groupBy("_file", "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.partitionBy("_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select(F.col("_file").alias("_f"), F.col("_blk").alias("_b"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    out = d.join(broadcast_if_few(splits), (F.col("_file") == F.col("_f")) & (F.col("_blk") == F.col("_b")), "left")
+    place = F.col("_off") + F.col("_mid") - F.col("_first")
+    sure = F.when(place >= 0, place).otherwise(F.raise_error(F.lit("the input was split differently when read again")).cast("bigint"))
+    return out.withColumn(pos_col, sure).drop("_f", "_b", "_first", "_off", "_mid", "_blk")
 
 
 def read_lines(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """A1: one text file, or every ``*.txt`` directly in a folder (not recursive, case-sensitive glob).
 
-    Returns ``doc_id`` (file path), ``line_no`` (0-based, file order) and ``line``.  Missing path or no
-    matching file raises; with ``strict`` an invalid UTF-8 line fails the job, as a strict decoder would.
+    Returns ``doc_id`` (file path), ``line_no`` (0-based, file order) and ``line``; no line leaves its task.  Missing
+    path or no matching file raises; with ``strict`` an invalid UTF-8 line fails the job, as a strict decoder would.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Input path not found at '{path}'")
     reader = spark.read.option("recursiveFileLookup", "false")
     if _is_dir(spark, path):
         reader = reader.option("pathGlobFilter", "*.txt")
-    df = reader.text(path)
-    df = df.select(F.col("_metadata.file_path").alias("doc_id"), "value", "_metadata")
+    out = _numbered(reader.text(path).select("value", "_metadata"), "line_no")
     if strict:
-        df = df.withColumn(
+        out = out.withColumn(
             "value", F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.raise_error(F.lit("invalid UTF-8 in input")))
         )
-    out = _ordered(df, "doc_id", "line_no")
-    return out.select("doc_id", "line_no", F.col("value").alias("line"))
-
-
-def read_text_folder_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """Text files laid out by ``write.partitionBy(...)``: lines plus the partition columns."""
-    df = spark.read.text(path).withColumn("doc_path", F.col("_metadata.file_path"))
-    return df
+    return out.select(F.col("_file").alias("doc_id"), "line_no", F.col("value").alias("line"))
 
 
 def read_csv_column(spark: SparkSession, path: str, column: str) -> DataFrame:
@@ -77,16 +81,13 @@ def read_csv_column(spark: SparkSession, path: str, column: str) -> DataFrame:
     df = spark.read.options(header=True, multiLine=True, escape='"', inferSchema=False).csv(path)
     if column not in df.columns:
         raise ValueError(f"Column header '{column}' not found in '{path}'. Available headers are: {', '.join(df.columns)}")
-    d = df.select(F.col(f"`{column}`").alias("_c"), "_metadata")
-    numbered = _ordered(d.withColumn("_file", F.col("_metadata.file_path")), "_file", "_r")
+    numbered = _numbered(df.select(F.col(f"`{column}`").alias("_c"), "_metadata"), "_r")
     # Row numbers run across files in path order (a folder of part files reads as one file).
-    files = numbered.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    from pyspark.sql import Window
-
-    offs = files.select("_file", F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
-    out = numbered.join(broadcast_if_few(offs), "_file")
+    files = df.select(F.col("_metadata.file_path").alias("_f")).groupBy("_f").agg(F.count(F.lit(1)).alias("_n"))
+    offs = global_cumsum(files.withColumn("_g", F.lit(0)), "_n", ["_f"], ["_g"], "_before").select("_f", "_before")
+    out = numbered.join(broadcast_if_few(offs), F.col("_file") == F.col("_f"))
     out = out.filter(F.col("_c").isNotNull() & (F.col("_c") != ""))
-    return out.select((F.col("_o") + F.col("_r")).alias("row_no"), T.py_strip("_c").alias("text"))
+    return out.select((F.col("_before") + F.col("_r")).alias("row_no"), T.py_strip("_c").alias("text"))
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
