@@ -269,14 +269,25 @@ class Codec:
         written = self.written
         data = b"".join([written[i] for i in ids])
         if self.prefix or self.squeeze:
-            visible = next((i for i in ids if i not in self.invisible), None)
-            if visible is not None and self.leads[visible]:
-                data = data.lstrip(b" ") if self.squeeze else data[1:]
+            data = data[self._added_blanks(ids) :]
         try:
             return data.decode()
         except UnicodeDecodeError:
             return self._mended(data)
 
+    def _added_blanks(self, ids: list[int]) -> int:
+        """Leading blanks to drop: the first piece's; where blanks are squeezed, one of each piece until text begins."""
+        dropped = 0
+        for i in ids:
+            if i in self.invisible:
+                continue
+            if not self.leads[i]:
+                break
+            dropped += 1
+            if not self.squeeze or len(self.written[i]) > 1:
+                break
+        return dropped
+
     @staticmethod
     def _mended(data: bytes) -> str:
         out, at = [], 0

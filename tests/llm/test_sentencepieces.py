@@ -1,0 +1,101 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from sentencepiece import sentencepiece_model_pb2
+
+from cadenza.llm.sentencepieces import Codec, CharacterMap, decode, digests, encode
+
+from .edge import ROWS, edge, none
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+LETTERS = "abc dé\n\t▁  漢字日本語ありがとう😀ñ<s></s>0x0A​\u0000 the and ing "
+
+
+def with_map(squeeze):
+    """The public model with a compiled character map that the library ships."""
+    rules = sentencepiece_model_pb2.ModelProto.FromString(sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto())
+    with open(MODEL, "rb") as f:
+        model = sentencepiece_model_pb2.ModelProto.FromString(f.read())
+    model.normalizer_spec.precompiled_charsmap = rules.normalizer_spec.precompiled_charsmap
+    model.normalizer_spec.remove_extra_whitespaces = squeeze
+    return model.SerializeToString()
+
+
+@pytest.fixture(scope="module", params=["plain", "map", "map and squeeze"])
+def both(request):
+    if request.param == "plain":
+        with open(MODEL, "rb") as f:
+            raw = f.read()
+    else:
+        raw = with_map(request.param.endswith("squeeze"))
+    return Codec(raw), sentencepiece.SentencePieceProcessor(model_proto=raw)
+
+
+def test_ids_spans_and_texts_equal_the_library(both):
+    codec, library = both
+    rng = random.Random(5)
+    letters = LETTERS + "ﬁ①Å㍿ｱﾞ　ＡÅ"
+    for _ in range(1500):
+        data = "".join(rng.choice(letters) for _ in range(rng.randrange(60))).encode()
+        ids, starts, ends = codec.encode(data)
+        assert list(zip(ids.tolist(), starts.tolist(), ends.tolist())) == [(p.id, p.begin, p.end) for p in library.encode(data, return_type="proto").pieces]
+        assert codec.decode(ids.tolist()) == library.decode(ids.tolist())
+
+
+def test_any_ids_decode_like_the_library(both):
+    codec, library = both
+    rng = random.Random(6)
+    for _ in range(1000):
+        ids = [rng.choice([0, 1, 2, 3, 100, 230, 240, 29871, 259, rng.randrange(32000)]) for _ in range(rng.randrange(8))]
+        assert codec.decode(ids) == library.decode(ids)
+
+
+def test_long_words_take_the_heap_and_agree(both):
+    codec, library = both
+    rng = random.Random(7)
+    for text in ("".join(rng.choice("theandig") for _ in range(5000)), "漢" * 3000, "a" * 4000, " " * 300, "x" * 65 + " " + "ing" * 40):
+        assert codec.encode(text.encode())[0].tolist() == library.encode(text)
+    codec.known.clear()
+
+
+def test_the_longest_entry_of_the_map_wins():
+    rules = sentencepiece_model_pb2.ModelProto.FromString(sentencepiece.SentencePieceNormalizer(rule_name="nfkc").serialized_model_proto())
+    table = CharacterMap(rules.normalizer_spec.precompiled_charsmap)
+    alone, pair = "\u304c".encode(), "\u304b\u3099".encode()  # a letter with a combining mark becomes one letter
+    end, at = table.longest(pair, 0)
+    assert end == len(pair) and table.replaced(at) == alone
+
+
+def rows_of(spark, df):
+    return {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in digests(decode(encode(df, MODEL, add_eos=True), MODEL)).collect()}
+
+
+def expected(rows):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    out = set()
+    for doc_id, text in rows:
+        ids = library.encode(text or "", add_eos=True)
+        out.add((doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+    return out
+
+
+def test_sample_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert rows_of(spark, docs) == expected([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_edge_rows_and_empty_table(spark):
+    assert rows_of(spark, edge(spark)) == expected([r[:2] for r in ROWS])
+    assert encode(edge(spark), MODEL).count() == len(ROWS)
+    assert encode(none(spark), MODEL).count() == 0 and decode(encode(none(spark), MODEL), MODEL).count() == 0
+    assert [r.text for r in decode(spark.createDataFrame([(1, None)], "doc_id bigint, ids array<int>"), MODEL).collect()] == [""]
+
+
+def test_spans_cover_the_source(spark):
+    text = "The house\n é 漢😀  end"
+    row = encode(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), MODEL, add_bos=True, add_eos=True).first()
+    data = text.encode()
+    assert b"".join(data[s:e] for s, e in zip(row.starts, row.ends)) == data and (row.starts[0], row.ends[0], row.starts[-1]) == (0, 0, len(data))
