@@ -1,21 +1,26 @@
-"""Learn sub-word merges (byte-pair encoding, Sennrich et al. 2016) as a loop of aggregations.
+"""Learn sub-word merges (byte-pair encoding, Sennrich et al. 2016).
 
-The distinct-word table (word -> symbols, frequency) is small next to the corpus.  Each round counts
-adjacent symbol pairs weighted by frequency (partial aggregation), takes the best pair of every group
-with one ``min_by`` (count desc, left asc, right asc), and rewrites the words with a left-to-right fold.
-Groups stop on their own once their best pair occurs fewer than twice.
+Spark counts the distinct words of every group.  A group of at most ``TASK_WORDS`` of them, whatever the corpus behind
+it, is merged by one task with an inverted index: pair -> words that hold it, and a heap of pair counts of which each
+merge touches only the words of its pair.  Larger groups are merged by a loop of aggregations, a merge a round: adjacent
+pairs are counted with partial aggregation, the best pair of every group is one ``min_by`` (count desc, left asc, right
+asc), and the words are rewritten with a left-to-right fold.  Both ways end once the best pair occurs fewer than twice.
 """
 
 from __future__ import annotations
 
+import heapq
 import itertools
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import broadcast_if_few, cut_lineage
 from .training import tokens
 
+TASK_WORDS = 200_000  # distinct words that one task merges
 END = "</w>"
 
 
@@ -49,29 +54,91 @@ def _merge(symbols, left, right) -> F.Column:
     return F.aggregate(symbols, F.array().cast("array<string>"), step)
 
 
-def learn_bpe(words: DataFrame, k: int | None = None, group_cols=("model",), every: int = 1) -> DataFrame:
+def merges_of(words: list[list[str]], freqs: list[int], k: int | None = None):
+    """(left, right, n) of each merge of some words (symbols, frequency), best pair first."""
+    counts: dict[tuple[str, str], int] = {}
+    index: dict[tuple[str, str], set[int]] = {}
+    for i, (symbols, f) in enumerate(zip(words, freqs)):
+        for pair in zip(symbols, symbols[1:]):
+            counts[pair] = counts.get(pair, 0) + f
+            index.setdefault(pair, set()).add(i)
+    # Counts in the heap may be out of date: an entry counts only if it is its pair's present one.
+    heap = [(-n, *pair) for pair, n in counts.items()]
+    heapq.heapify(heap)
+    for _ in itertools.count() if k is None else range(k):
+        while heap and counts.get(heap[0][1:], 0) != -heap[0][0]:
+            heapq.heappop(heap)
+        if not heap or heap[0][0] > -2:
+            return
+        n, left, right = heapq.heappop(heap)
+        yield left, right, -n
+        changed = set()
+        for i in index.pop((left, right)):
+            old, f = words[i], freqs[i]
+            new: list[str] = []
+            for symbol in old:
+                if new and symbol == right and new[-1] == left:
+                    new[-1] = left + right
+                else:
+                    new.append(symbol)
+            words[i] = new
+            for pair in zip(old, old[1:]):
+                counts[pair] -= f
+                changed.add(pair)
+            for pair in zip(new, new[1:]):
+                counts[pair] = counts.get(pair, 0) + f
+                index.setdefault(pair, set()).add(i)
+                changed.add(pair)
+        for pair in changed:
+            if counts[pair] > 0:
+                heapq.heappush(heap, (-counts[pair], *pair))
+            else:
+                del counts[pair]
+
+
+def _in_task(words: DataFrame, k: int | None, g: list[str]) -> DataFrame:
+    new = (("rank", T.IntegerType()), ("left", T.StringType()), ("right", T.StringType()), ("n", T.LongType()))
+    schema = T.StructType([*words.select(*g).schema.fields, *(T.StructField(c, t) for c, t in new)])
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        found = list(merges_of([list(s) for s in group["symbols"]], group["freq"].tolist(), k))
+        columns = {c: [group[c].iloc[0]] * len(found) for c in g} | {"rank": range(1, len(found) + 1)}
+        columns |= {c: [m[j] for m in found] for j, c in enumerate(("left", "right", "n"))}
+        out = pd.DataFrame({c: pd.Series(list(v), dtype=object) for c, v in columns.items()})
+        return out
+
+    return words.groupBy(*g).applyInPandas(run, schema)
+
+
+def learn_bpe(words: DataFrame, k: int | None = None, group_cols=("model",), task_words: int = TASK_WORDS) -> DataFrame:
     """``(group, rank, left, right, n)``: merges until a group's best pair occurs fewer than twice, or the first
-    ``k`` (the vocabulary size wanted) where ``k`` is given."""
+    ``k`` (the vocabulary size wanted) where ``k`` is given.  Groups of more than ``task_words`` distinct words are
+    merged by rounds over all tasks."""
     g = list(group_cols)
-    spark = words.sparkSession
     words = cut_lineage(words.select(*g, "symbols", "freq"))
-    merges = []
+    sizes = words.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = cut_lineage(sizes.select(*g, (F.col("_n") > task_words).alias("_large")))
+    words = words.join(broadcast_if_few(sizes), g)
+    out = _in_task(words.where("not _large").drop("_large"), k, g)
+    if sizes.where("_large").isEmpty():
+        return out
+    return out.unionByName(_by_rounds(words.where("_large").drop("_large"), k, g))
+
+
+def _by_rounds(words: DataFrame, k: int | None, g: list[str]) -> DataFrame:
+    words, merges = cut_lineage(words), []
     for rank in itertools.count(1) if k is None else range(1, k + 1):
         best = pair_counts(words, g).groupBy(*g).agg(
             F.min_by(F.struct("left", "right", "n"), F.struct(-F.col("n"), F.col("left"), F.col("right"))).alias("b")
         ).select(*g, "b.left", "b.right", "b.n").filter(F.col("n") >= 2)
         best = cut_lineage(best.withColumn("rank", F.lit(rank)))
-        if best.isEmpty():
+        if best.isEmpty() and merges:
             break
         merges.append(best)
         chosen = broadcast_if_few(best.select(*g, F.col("left").alias("_l"), F.col("right").alias("_r")))
-        words = words.join(chosen, g, "left").select(
+        words = cut_lineage(words.join(chosen, g, "left").select(
             *g, F.when(F.col("_l").isNull(), F.col("symbols")).otherwise(_merge(F.col("symbols"), F.col("_l"), F.col("_r"))).alias("symbols"), "freq"
-        )
-        if rank % every == 0:
-            words = cut_lineage(words)
-    if not merges:
-        return spark.createDataFrame([], words.select(*g).schema.add("rank", "int").add("left", "string").add("right", "string").add("n", "long"))
+        ))
     out = merges[0]
     for m in merges[1:]:
         out = out.unionByName(m)
