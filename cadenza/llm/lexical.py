@@ -1,6 +1,6 @@
 """Ranked lexical search over inverted lists that are cut into geometric blocks.
 
-The documents are read once into a stored forward index: each document's length and its counts of the query terms.
+The documents are read once into a forward index, checkpointed in the shared folder: each document's length and its counts of the query terms.
 Corpus statistics come from that table.  Tasks then take the documents in shards.  In a shard every term's posting list
 is clustered by document similarity (a short random projection of each document's weighted terms; each posting goes to
 the nearest of evenly chosen pivots of its list), and each cluster, a block, stores for every term the largest impact
@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_of, bytes_column, pick, written
+from ..session import cut_lineage
+from .common import batches_of, bytes_column, pick
 
 TOP = 50
 BLOCK_TERMS = 1_000_000  # distinct terms of items that one pass sends to the tasks
@@ -286,7 +287,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, id_col: str = "doc_i
         rows = sorted((r["item"], [bytes(t) for t in r["terms"]]) for r in block.toLocalIterator())
         known = Items(rows)
         sent = spark.sparkContext.broadcast(known)
-        index = written(forward(docs, sent), "forward")
+        index = cut_lineage(forward(docs, sent))  # in as many partitions as the documents
         n_docs, n_terms = index.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
         df = np.zeros(len(known.vocabulary), np.int64)
         for r in index.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df")).toLocalIterator():
