@@ -7,12 +7,15 @@ document (the reference's rules span whole files: bracket spans, sentence breaks
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..options import Options
-from ..session import broadcast_if_few, ensure_parallelism
+from ..session import broadcast_if_few, cut_lineage, ensure_parallelism
+from .training import global_cumsum
 
 
 def filter_document_lines(docs: DataFrame, text_col: str = "text", opts: Options = Options()) -> DataFrame:
@@ -59,22 +62,32 @@ def corpus_stats(lines: DataFrame, sentences: DataFrame, key: str = "doc_id") ->
 
 
 # ---- C11: corpus-learned abbreviations (stand-in for a pretrained sentence model) ----------------
+ABBREVIATION_DOT = 0.99  # how often an abbreviation is followed by a dot, in the score's alternative hypothesis
+
+
 def learn_abbreviations(sents: DataFrame, col: str = "sentence", min_dot: int = 5, max_len: int = 5,
                         min_ratio: float = 0.9) -> DataFrame:
     """Count each lower-cased token with and without a final dot; flag likely abbreviations.
 
-    Partial aggregation happens map-side, so a hot token only costs one row per partition.
+    ``score`` is the log-likelihood ratio of Kiss and Strunk (2006): how much better the counts fit a token that nearly
+    always has a dot than one that has it as often as any token.  It is reported and not used as the cut.  Partial
+    aggregation happens map-side, so a hot token only costs one row per partition; the two totals are one row.
     """
     toks = sents.select(F.explode(T.words(F.col(col))).alias("tok"))
     toks = toks.select(
         F.lower(F.regexp_replace("tok", r"\.\z", "")).alias("token"),
         F.col("tok").endswith(".").alias("dotted"),
     ).filter(F.col("token") != "")
-    counts = toks.groupBy("token").agg(
+    counts = cut_lineage(toks.groupBy("token").agg(
         F.count_if(F.col("dotted")).alias("n_dot"), F.count_if(~F.col("dotted")).alias("n_nodot")
-    )
+    ))
+    dots, plain = counts.agg(F.sum("n_dot"), F.sum("n_nodot")).first()
+    any_ = (dots or 0) / max(1, (dots or 0) + (plain or 0))
     ratio = F.col("n_dot") / (F.col("n_dot") + F.col("n_nodot"))
-    return counts.withColumn(
+    # Where no token, or every token, has a dot, the two hypotheses cannot be told apart.
+    score = 2 * (F.col("n_dot") * F.lit(math.log(ABBREVIATION_DOT / any_)) + F.col("n_nodot") * F.lit(
+        math.log((1 - ABBREVIATION_DOT) / (1 - any_)))) if 0 < any_ < 1 else F.lit(0.0)
+    return counts.withColumn("score", F.round(score, 6)).withColumn(
         "is_abbrev",
         (F.col("n_dot") >= min_dot)
         & F.col("token").rlike(r"^[a-z]+\z")
@@ -86,22 +99,17 @@ def learn_abbreviations(sents: DataFrame, col: str = "sentence", min_dot: int =
 def merge_abbrev(sents: DataFrame, abbrevs: DataFrame, key: str = "doc_id", col: str = "sentence") -> DataFrame:
     """Re-join a sentence piece to the next one when it ends in a learned abbreviation.
 
-    A running count of real boundaries per document gives each merged sentence an id, then an
-    ordered ``collect_list`` per (document, id) rebuilds it.  Groups are single sentences.
+    The id of a merged sentence is the number of real boundaries before it in its document: a prefix sum over ranges of
+    (document, sentence), so that one huge document is numbered by many tasks.  Groups are single merged sentences.
     """
     last = F.lower(F.regexp_extract(F.col(col), r"([^ ]+)\.\z", 1))
-    flagged = sents.join(
+    flagged = sents.select(key, "sent_no", col).join(
         broadcast_if_few(abbrevs.filter("is_abbrev").select(F.col("token").alias("_abbr"))),
         last == F.col("_abbr"),
         "left",
-    ).withColumn("_cont", F.col("_abbr").isNotNull()).drop("_abbr")
-    from pyspark.sql import Window as W
-
-    w = W.partitionBy(key).orderBy("sent_no")
-    prev_cont = F.coalesce(F.lag("_cont").over(w), F.lit(False))
-    starts = flagged.withColumn("_start", F.when(prev_cont, 0).otherwise(1))
-    grouped = starts.withColumn("_sid", F.sum("_start").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    return grouped.groupBy(key, "_sid").agg(
+    ).withColumn("_real", F.col("_abbr").isNull().cast("bigint")).drop("_abbr")
+    numbered = global_cumsum(flagged, "_real", ["sent_no"], [key], "_sid")
+    return numbered.groupBy(key, "_sid").agg(
         F.min("sent_no").alias("sent_no"),
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("sent_no", col))), lambda x: x[col]), " "

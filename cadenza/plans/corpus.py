@@ -194,12 +194,14 @@ DUCK_CLEAN_INJECTED = D.clean_corpus_sql(DUCK_INJECTED)
 
 @query(
     "c11_learn_abbreviations",
-    f"""SELECT token, CAST(count_if(dotted) AS BIGINT) AS n_dot, CAST(count_if(NOT dotted) AS BIGINT) AS n_nodot,
+    f"""SELECT * EXCLUDE (d, p), round(2 * (n_dot * ln(0.99 / (d / (d + p))) + n_nodot * ln((1 - 0.99) / (1 - d / (d + p)))), 6) AS score FROM (
+SELECT *, sum(n_dot) OVER () AS d, sum(n_nodot) OVER () AS p FROM (
+SELECT token, CAST(count_if(dotted) AS BIGINT) AS n_dot, CAST(count_if(NOT dotted) AS BIGINT) AS n_nodot,
  (count_if(dotted) >= 5 AND regexp_matches(token, '^[a-z]+\\z') AND length(token) <= 5
   AND count_if(dotted) / (count_if(dotted) + count_if(NOT dotted)) >= 0.9) AS is_abbrev
 FROM (SELECT lower(regexp_replace(tok, '\\.\\z', '')) AS token, ends_with(tok, '.') AS dotted
       FROM (SELECT unnest({D.words('sentence')}) AS tok FROM ({DUCK_CLEAN_INJECTED})))
-WHERE token <> '' GROUP BY token""",
+WHERE token <> '' GROUP BY token))""",
 )
 def c11_learn_abbreviations(spark, sf_dir):
     return S.learn_abbreviations(S.clean_corpus(injected(spark, sf_dir)))

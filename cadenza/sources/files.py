@@ -1,5 +1,5 @@
-"""File sources and sinks (A1-A7, A9): text lines, a CSV column, chat exports, concatenation,
-text and song sinks, a content-keyed materialise cache, and directory sizes."""
+"""File sources and sinks (A1-A6, A9): text lines, a CSV column, chat exports, concatenation,
+a text sink, a content-keyed materialise cache, and directory sizes."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.training import global_cumsum
-from ..session import broadcast_if_few, scratch_root
+from ..session import broadcast_if_few, cut_lineage, scratch_root
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -97,7 +97,7 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     ``messages`` is not a list give no rows, like the reference's early return.  Non-string texts
     (numbers, null) and entries without ``text`` are skipped; an empty string is kept.
     """
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("doc_id"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("doc_id"), "value")
     v = F.try_parse_json("value")
     msgs = F.try_variant_get(v, "$.messages", "array<variant>")
     ex = raw.select("doc_id", F.posexplode(msgs).alias("msg_no", "m"))
@@ -143,14 +143,35 @@ def materialise(spark: SparkSession, name: str, build, options: dict | None = No
     return spark.read.parquet(path)
 
 
-def write_songs(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Songs under ``<path>/model=<model folder>/name=<name>/`` with their logical file name
-    ``<name>_song_<i>.txt`` and content; ``song_no`` comes from ``assign_song_no`` (G7)."""
-    out = df.withColumn("file_name", F.concat(F.col("name"), F.lit("_song_"), F.col("song_no").cast("string"), F.lit(".txt")))
-    out.select("model", "name", "song_no", "file_name", "content").write.mode(mode).partitionBy("model", "name").parquet(path)
-
-
 def dir_size(spark: SparkSession, path: str) -> DataFrame:
-    """Total bytes of all files under ``path`` (recursive); file contents are never read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
+    """Total bytes and number of all files under ``path``, at any depth, hidden ones too; contents are never read.
+
+    Folders are listed level by level, each level by the tasks; a Spark reader would pass over names that begin with a
+    dot or an underscore.
+    """
+    level = spark.createDataFrame([(path,)], "folder string")
+    found = []
+    while True:
+        entries = cut_lineage(level.repartition("folder").mapInPandas(_entries, "path string, is_dir boolean, length bigint"))
+        found.append(entries.where("not is_dir").select("length"))
+        level = entries.where("is_dir").select(F.col("path").alias("folder"))
+        if level.isEmpty():
+            break
+    files = found[0]
+    for more in found[1:]:
+        files = files.union(more)
     return files.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("bytes"), F.count(F.lit(1)).alias("n_files"))
+
+
+def _entries(batches):
+    """What stands directly in each folder."""
+    import pandas as pd
+    import pyarrow.fs as pfs
+
+    for batch in batches:
+        for folder in batch["folder"]:
+            fs, root = pfs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pfs.LocalFileSystem(), folder)
+            infos = fs.get_file_info(pfs.FileSelector(root))
+            prefix = folder[: -len(root)] if folder.endswith(root) else ""
+            yield pd.DataFrame({"path": pd.Series([prefix + i.path for i in infos], dtype=object),
+                                "is_dir": [i.type == pfs.FileType.Directory for i in infos], "length": [max(i.size or 0, 0) for i in infos]})
