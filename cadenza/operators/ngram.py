@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_few
+from ..session import broadcast_if_few, stored
 from .training import BOS, EOS, tokens
 
 # Interpolation weights for orders 3, 2, 1.
@@ -61,9 +61,10 @@ def perplexity(model: DataFrame, heldout: DataFrame, col: str = "sentence", grou
 
     ``p1 = (cnt + 1) / (N + V + 1)`` over V known tokens plus one unknown, so it is never zero.  Equal events are
     counted before they are joined, and no join is on the group alone: its one-row normaliser is broadcast after a
-    count.
+    count.  The model is stored once; the three orders and the normaliser read it.
     """
     g = list(group_cols)
+    model = stored(model.select(*g, "order", "ctx", "token", "cnt", "ctx_cnt"), "ngrams")
     ev = events(heldout, col, g).groupBy(*g, "ctx3", "ctx2", "token").agg(F.count(F.lit(1)).alias("_n"))
     m3 = model.filter("order = 3").select(*g, F.col("ctx").alias("ctx3"), "token", (F.col("cnt") / F.col("ctx_cnt")).alias("p3"))
     m2 = model.filter("order = 2").select(*g, F.col("ctx").alias("ctx2"), "token", (F.col("cnt") / F.col("ctx_cnt")).alias("p2"))

@@ -20,6 +20,7 @@ TOKEN_PATTERN = r"[A-Za-z0-9'-]+|[.,?!]"
 LABEL_MASK = -100
 
 ENCODE_SALTS = 8
+VOCABULARY_BYTES = 64 << 20  # a larger vocabulary is not broadcast
 _IDX_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index in the partition
 
 
@@ -97,15 +98,16 @@ def ordered_split(df: DataFrame, v: float = 0.1, order_cols=("doc_id", "sent_no"
     """First ``int(n*(1-v))`` rows of each group are train, the rest eval; adds ``pos``, ``split``,
     ``split_pos`` (position inside the split) and ``n``.
 
-    The rows are built once, into the shared folder.  Only one count per document is dealt by range; the text moves
-    once, to stand beside its document's start.
+    The rows are built once, into the shared folder, numbered within their documents: that is the one time that text
+    moves.  One count per document is dealt by range, and a use of the result joins the rows to their documents' starts,
+    which are broadcast after a count.
     """
     doc, *inner = order_cols
-    df = stored(df, "split")
+    within = Window.partitionBy(*group_cols, doc).orderBy(*inner)
+    df = stored(df.withColumn("_k", F.row_number().over(within) - 1), "split")
     counts = df.groupBy(*group_cols, doc).agg(F.count(F.lit(1)).alias("_c"))
     starts = global_cumsum(counts, "_c", [doc], list(group_cols), "_start", "n").drop("_c")
-    within = Window.partitionBy(*group_cols, doc).orderBy(*inner)
-    out = df.withColumn("_k", F.row_number().over(within) - 1).join(starts, [*group_cols, doc])
+    out = df.join(broadcast_if_few(starts), [*group_cols, doc])
     out = out.withColumn("pos", F.col("_start") + F.col("_k")).drop("_start", "_k")
     cut = F.floor(F.col("n").cast("double") * (F.lit(1.0) - F.lit(float(v))))
     return out.withColumn("split", F.when(F.col("pos") < cut, "train").otherwise("eval")).withColumn(
@@ -134,15 +136,22 @@ def encode(df: DataFrame, vocab: DataFrame, col: str, key_cols: list[str], group
     """D3 encode + D6: text -> ``ARRAY<BIGINT>`` ids (unknown -> 1), text column dropped.
 
     Tokens are exploded with their position, joined to the vocabulary and re-collected per row; each group is one
-    sentence.  The join is on (group, token, salt): the vocabulary comes ``ENCODE_SALTS`` times, so that a token that
+    sentence.  A vocabulary of at most ``VOCABULARY_BYTES`` by its measured size is broadcast, so that tokens move once,
+    as numbers; a larger one is joined on (group, token, salt) and comes ``ENCODE_SALTS`` times, so that a token that
     makes up a third of a corpus is met by as many tasks.
     """
     g = list(group_cols)
     # explode_outer keeps rows without tokens; their null entry is skipped by collect_list.
     exploded = df.select(*g, *key_cols, F.posexplode_outer(tokens(col)).alias("_tpos", "token"))
-    exploded = exploded.withColumn("_salt", F.pmod(F.xxhash64(*key_cols, "_tpos"), F.lit(ENCODE_SALTS)).cast("int"))
-    v = vocab.select(*g, "token", "id", F.explode(F.sequence(F.lit(0), F.lit(ENCODE_SALTS - 1))).alias("_salt"))
-    joined = exploded.join(v, [*g, "token", "_salt"], "left").withColumn("id", F.coalesce("id", F.lit(1).cast("bigint")))
+    vocab = cut_lineage(vocab.select(*g, "token", "id"))
+    size = vocab.agg(F.sum(F.octet_length("token") + F.lit(64))).first()[0] or 0
+    if size <= VOCABULARY_BYTES:
+        joined = exploded.join(F.broadcast(vocab), [*g, "token"], "left")
+    else:
+        exploded = exploded.withColumn("_salt", F.pmod(F.xxhash64(*key_cols, "_tpos"), F.lit(ENCODE_SALTS)).cast("int"))
+        v = vocab.select("*", F.explode(F.sequence(F.lit(0), F.lit(ENCODE_SALTS - 1))).alias("_salt"))
+        joined = exploded.join(v, [*g, "token", "_salt"], "left")
+    joined = joined.withColumn("id", F.coalesce("id", F.lit(1).cast("bigint")))
     entry = F.when(F.col("token").isNotNull(), F.struct("_tpos", "id"))
     out = joined.groupBy(*g, *key_cols).agg(
         F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["id"]).alias(out_col)
@@ -189,7 +198,3 @@ def steps_per_epoch(df: DataFrame, batch_size: int = 4, group_cols=("model",)) -
         F.floor(F.count(F.lit(1)) / batch_size).cast("bigint").alias("steps_per_epoch"),
     )
 
-
-def training_set(sentences: DataFrame, opts: Options = Options()) -> DataFrame:
-    """D1 + D2 on cleaned sentences ``(model, doc_id, sent_no, sentence)``."""
-    return ordered_split(make_pairs(sentences, style=opts.style), opts.validation_set_size)

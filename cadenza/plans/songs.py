@@ -124,6 +124,11 @@ def g4_section_prompt(spark, sf_dir):
     return G.section_prompt(resolved(spark, sf_dir)).select("song_id", "pos", "prompt")
 
 
+@query("g4_section_prompt_seq2seq", f"SELECT song_id, pos, 'write a ' || lower(tag) || ' about: ' || idea AS prompt FROM {DUCK_RESOLVED}")
+def g4_section_prompt_seq2seq(spark, sf_dir):
+    return G.section_prompt(resolved(spark, sf_dir), style="seq2seq").select("song_id", "pos", "prompt")
+
+
 @query("g5_reuse_chorus", f"SELECT song_id, pos, tag, content FROM {DUCK_RESOLVED}")
 def g5_reuse_chorus(spark, sf_dir):
     return resolved(spark, sf_dir).select("song_id", "pos", "tag", "content")

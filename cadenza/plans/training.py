@@ -50,8 +50,7 @@ def vocab(split: DataFrame) -> DataFrame:
 
 
 def encoded(split: DataFrame, voc: DataFrame) -> DataFrame:
-    ids = TR.encode(split, voc, "sentence", ["doc_id", "sent_no"])
-    return split.select("model", "doc_id", "sent_no", "split", "split_pos").join(ids, ["model", "doc_id", "sent_no"])
+    return TR.encode(split, voc, "sentence", ["doc_id", "sent_no", "split", "split_pos"])
 
 
 def ids_str(c: str = "ids"):
@@ -69,6 +68,11 @@ def d1_make_pairs(spark, sf_dir):
     )
 
 
+@query("d1_make_pairs_decoder", f"SELECT model, doc_id, sent_no, sentence AS text FROM {DUCK_SENTENCES}")
+def d1_make_pairs_decoder(spark, sf_dir):
+    return TR.make_pairs(sentences(spark, sf_dir)).select("model", "doc_id", "sent_no", "text")
+
+
 @query("d2_ordered_split", f"SELECT model, doc_id, sent_no, pos, split, split_pos FROM {DUCK_SPLIT}")
 def d2_ordered_split(spark, sf_dir):
     return split_sentences(spark, sf_dir).select("model", "doc_id", "sent_no", "pos", "split", "split_pos")
@@ -126,6 +130,29 @@ def d7_pad_batches(spark, sf_dir):
     )
 
 
+_PADDED = "array_to_string({0} || list_transform(range(max(len({0})) OVER (PARTITION BY model, split, batch_id) - len({0})), lambda x: {1}), ' ')"
+
+
+# Inputs are the prompted sentence and targets the sentence, both with an end mark and cut to 128 tokens.
+@query(
+    "d7_pad_batches_seq2seq",
+    f"""SELECT model, split, split_pos, batch_id, {_PADDED.format('ids', '0')} AS ids, {_PADDED.format('mask', '0')} AS mask,
+  {_PADDED.format('labels', '-100')} AS labels
+ FROM (SELECT *, list_transform(range(len(ids)), lambda x: 1) AS mask, CAST(floor(split_pos / 4) AS BIGINT) AS batch_id FROM (
+  SELECT model, split, split_pos, (list_concat(i.ids, [3]))[1:128] AS ids, (list_concat(t.ids, [3]))[1:128] AS labels
+  FROM (SELECT * FROM {DUCK_ENCODED}) t JOIN (SELECT * FROM {DUCK_ENCODED.replace("s.sentence", "('write a lyric based on this text: ' || s.sentence)")}) i
+  USING (model, doc_id, sent_no, split, split_pos)))""",
+)
+def d7_pad_batches_seq2seq(spark, sf_dir):
+    split = split_sentences(spark, sf_dir)
+    voc, keys = vocab(split), ["doc_id", "sent_no", "split", "split_pos"]
+    pairs = TR.make_pairs(split, style="seq2seq")
+    inputs = TR.truncate(TR.encode(pairs, voc, "input_text", keys, add_eos=True), "ids", 128)
+    labels = TR.truncate(TR.encode(pairs, voc, "target_text", keys, out_col="labels", add_eos=True), "labels", 128)
+    out = TR.pad_batches(inputs.join(labels, ["model", *keys]), 4, "seq2seq", labels="labels")
+    return out.select("model", "split", "split_pos", "batch_id", ids_str("ids").alias("ids"), ids_str("mask").alias("mask"), ids_str("labels").alias("labels"))
+
+
 @query(
     "d8_steps_per_epoch",
     f"""SELECT model, CAST(count(*) AS BIGINT) AS n_train, CAST(floor(count(*) / 4) AS BIGINT) AS steps_per_epoch
