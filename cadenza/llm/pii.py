@@ -8,6 +8,7 @@ with its source offsets.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -194,15 +195,18 @@ def disguised(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, in
         changed |= traced.rewrite(pattern, to)
     if not changed:
         return []
-    taken = {kind: [(s, e) for s, e, k in base if k == kind] for kind in KINDS}
+    # Spans of one kind don't overlap, so of those that begin before another's end only the last can touch it.
+    taken = {kind: sorted((s, e) for s, e, k in base if k == kind) for kind in KINDS}
     added = []
     for s, e, kind in identifiers(traced.text):
         if kind in ("card", "phone") and len(set(_NOT_DIGIT.sub("", traced.text[s:e]))) == 1:
             continue  # a word repeated over and over is no number
-        start, end = traced.starts[s], traced.ends[e - 1]
-        if not any(a < end and start < b for a, b in taken[kind]):
-            added.append((start, end, kind))
-            taken[kind].append((start, end))
+        start, end, spans = traced.starts[s], traced.ends[e - 1], taken[kind]
+        at = bisect.bisect_left(spans, (end,))
+        if at and spans[at - 1][1] > start:
+            continue
+        added.append((start, end, kind))
+        spans.insert(at, (start, end))
     return added
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -100,3 +101,15 @@ def test_edge_rows_and_empty_table(spark):
 ])
 def test_hint_and_spelled_digits_cover_the_passes(text, span):
     assert [f"{k}:{text[s:e]}" for s, e, k in pii.disguised(text, pii.identifiers(text))] == ([span] if span else [])
+
+
+def test_time_grows_with_the_identifiers_of_one_text():
+    def seconds(n):
+        text = " ".join(f"name{k}@example{k}.com" for k in range(n)) + " eve [at] example.com"
+        start = time.process_time()
+        found = pii.disguised(text, pii.identifiers(text))
+        assert len(found) == 1
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(16_000) < 8 * max(0.05, seconds(4_000))
