@@ -19,6 +19,7 @@ from .common import pick, small
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 GROUP_ROWS = 256
+COPY_STEP = 4096  # equal rows are numbered in steps, so that no list of numbers is long
 SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -104,6 +105,11 @@ def pivotal(rows: DataFrame, group_rows: int = GROUP_ROWS, seed: int = SEED) ->
     The sum of the rounded words of a key differs from the sum of its m by less than one document.
     """
     decided, level = [], 0
+    # Rows equal in everything get numbers, so that they too are dealt into many groups.
+    same = rows.groupBy("key", "id", "size", "m").agg(F.count(F.lit(1)).alias("n"))
+    part = same.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPY_STEP}"))).alias("part"))
+    last = F.least(F.col("n") - 1, (F.col("part") + 1) * COPY_STEP - 1)
+    rows = cut_lineage(part.select("key", "id", "size", "m", F.explode(F.sequence(F.col("part") * COPY_STEP, last)).alias("copy")))
     while True:
         # What each key still has decides how many groups it is dealt into, so no group is large.
         counts = small(cut_lineage(rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(group_rows)).alias("groups"))))
@@ -112,12 +118,13 @@ def pivotal(rows: DataFrame, group_rows: int = GROUP_ROWS, seed: int = SEED) ->
             break
         same = rows["key"].eqNullSafe(counts["key"])
         dealt = rows.join(counts, same).drop(counts["key"])
-        dealt = dealt.withColumn("u", _draw(seed, level, "key", "id", "size", "m"))
-        dealt = dealt.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "key", "id", "size", "m"), F.col("groups")))
+        own = ("key", "id", "size", "m", "copy")
+        dealt = dealt.withColumn("u", _draw(seed, level, *own))
+        dealt = dealt.withColumn("grp", F.pmod(F.xxhash64(F.lit(seed), F.lit(level), *own), F.col("groups")))
         docs = F.array_sort(F.collect_list(F.struct("u", "id", "size", "m"))).alias("docs")
-        folded = cut_lineage(dealt.groupBy("key", "grp").agg(docs).select("key", F.expr(_ROUND).alias("s")))
+        folded = cut_lineage(dealt.groupBy("key", "grp").agg(docs).select("key", "grp", F.expr(_ROUND).alias("s")))
         decided.append(folded.select("key", F.inline("s.done")))
-        rows = folded.where("s.has").select("key", F.col("s.id").alias("id"), F.col("s.a").alias("size"), F.col("s.m").alias("m"))
+        rows = folded.where("s.has").select("key", F.col("s.id").alias("id"), F.col("s.a").alias("size"), F.col("s.m").alias("m"), F.col("grp").alias("copy"))
         level += 1
         if most <= 1:
             up = _draw(seed, level, "key", "id", "size", "m") * F.col("size") < F.col("m")

@@ -2,6 +2,7 @@ from collections import defaultdict
 
 import pytest
 
+from cadenza.llm import mixing
 from cadenza.llm.mixing import mix, pivotal, ranked, targets_of
 
 from .edge import ROWS, edge, none
@@ -71,6 +72,20 @@ def test_expected_copies_are_kept(spark):
     assert mean == pytest.approx(0.3, abs=0.02)
 
 
+def test_rows_equal_in_everything_are_dealt_into_small_groups(spark):
+    rows = spark.range(20_000).selectExpr("named_struct('source', 'a') AS key", "cast(null as bigint) AS id", "10L AS size", "3.5D AS m")
+    sizes = []
+    folded = mixing.cut_lineage
+    try:
+        mixing.cut_lineage = lambda df: sizes.append(df.selectExpr("size(s.done) AS n").agg({"n": "max"}).first()[0] if "s" in df.columns else 0) or folded(df)
+        out = pivotal(rows)
+        up = out.where("up").count()
+    finally:
+        mixing.cut_lineage = folded
+    assert out.count() == 20_000 and abs(up * 10 - 20_000 * 3.5) < 10
+    assert max(sizes) < 2 * mixing.GROUP_ROWS
+
+
 def test_a_seed_changes_the_draw(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert sorted(mixed(mix(docs, seed=1))) != sorted(mixed(mix(docs, seed=2)))
