@@ -18,16 +18,6 @@ from ..session import broadcast_if_few, cut_lineage, ensure_parallelism
 from .training import global_cumsum
 
 
-def filter_document_lines(docs: DataFrame, text_col: str = "text", opts: Options = Options()) -> DataFrame:
-    """Replace ``text`` with its surviving lines joined by one space."""
-    return docs.withColumn(text_col, T.filter_lines(F.col(text_col), subtitle_cues=opts.strip_subtitle_cues))
-
-
-def normalise_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """C1 -> C8 -> C9 on the joined text."""
-    return docs.withColumn(text_col, T.normalise_text(F.col(text_col)))
-
-
 def explode_sentences(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per sentence piece, ``sent_no`` = 0-based position in the document."""
     return docs.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 # Fixed values that must equal the reference's defaults.
 DEFAULT_SONG_STRUCTURE = ("[Verse 1]", "[Chorus]", "[Verse 2]", "[Chorus]", "[Bridge]", "[Chorus]", "[Outro]")
@@ -40,11 +40,3 @@ class Options:
     strip_subtitle_cues: bool = False  # dead rule in the reference, opt-in here
     daily_quota: int = 5
     extra: dict = field(default_factory=dict)
-
-    def with_(self, **kw) -> "Options":
-        return replace(self, **kw)
-
-
-BATCH_DEFAULTS = Options()
-# Request defaults differ from the batch ones in words per line.
-SERVE_DEFAULTS = Options(ideal_words_per_line=10, song_structure=DEFAULT_SONG_STRUCTURE)
