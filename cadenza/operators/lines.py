@@ -71,7 +71,7 @@ def passages(lines: DataFrame, key: str = "doc_id", line: str = "line") -> DataF
     # 2 * line_no + 1 where the line's last bracket opens, 2 * line_no where it closes: the larger one came later.
     bracket = F.when(opens > closes, 2 * F.col("line_no") + 1).when(closes > 0, 2 * F.col("line_no"))
     # Only what stands behind the line's last bracket is sure to stay, whatever is open before the line.
-    tail = F.regexp_extract("line", r"([^\[\]]*)\z", 1)
+    tail = F.regexp_replace("line", r"(?s)\A.*[\[\]]", "")
     ends = T.sanitize(tail).rlike(r"[.?!]\z") & ~F.col("line").rlike(rf"\^{T.SPACE}*\z")
     marks = kept.select(key, "line_no", bracket.alias("_b"), ends.alias("_ends"), F.when(closes > 0, F.col("line_no")).alias("_closes"))
     n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import sentences as S
-from ..session import table
+from ..session import ensure_parallelism, table
 from . import duck as D
 from .fixtures import DUCK_INJECTED, INJECT_SQL
 from .registry import query
@@ -249,7 +249,7 @@ def c15_clean_lines(spark, sf_dir):
     """C15 from numbered lines instead of whole texts."""
     from ..operators.lines import clean_lines
 
-    return clean_lines(raw_lines(injected(spark, sf_dir)))
+    return clean_lines(raw_lines(ensure_parallelism(injected(spark, sf_dir))))
 
 
 @query(
