@@ -72,28 +72,34 @@ def merges_of(words: list[list[str]], freqs: list[int], k: int | None = None):
             return
         n, left, right = heapq.heappop(heap)
         yield left, right, -n
-        changed = set()
+        changed: dict[tuple[str, str], int] = {}
+        merged = left + right
         for i in index.pop((left, right)):
             old, f = words[i], freqs[i]
             new: list[str] = []
             for symbol in old:
                 if new and symbol == right and new[-1] == left:
-                    new[-1] = left + right
+                    new[-1] = merged
                 else:
                     new.append(symbol)
+            if len(new) == len(old):  # an earlier merge took the pair out of the word
+                continue
             words[i] = new
             for pair in zip(old, old[1:]):
-                counts[pair] -= f
-                changed.add(pair)
+                changed[pair] = changed.get(pair, 0) - f
             for pair in zip(new, new[1:]):
-                counts[pair] = counts.get(pair, 0) + f
-                index.setdefault(pair, set()).add(i)
-                changed.add(pair)
-        for pair in changed:
-            if counts[pair] > 0:
-                heapq.heappush(heap, (-counts[pair], *pair))
+                changed[pair] = changed.get(pair, 0) + f
+                if merged in pair:
+                    index.setdefault(pair, set()).add(i)
+        for pair, by in changed.items():
+            if not by:
+                continue
+            now = counts[pair] = counts.get(pair, 0) + by
+            if now > 0:
+                heapq.heappush(heap, (-now, *pair))
             else:
                 del counts[pair]
+                index.pop(pair, None)
 
 
 def _in_task(words: DataFrame, k: int | None, g: list[str]) -> DataFrame:
