@@ -1,5 +1,6 @@
 """Work that must grow with the text alone: long lines, long texts, one-file tables, rows that stay where they are."""
 
+import tempfile
 import time
 
 from pyspark.sql import functions as F
@@ -71,3 +72,19 @@ def test_a_single_continuation_is_certain(spark):
     assert [tuple(x) for x in dist.first().d] == [("x", 1, 1.0)]
     plan = dist._jdf.queryExecution().optimizedPlan().toString().lower()
     assert plan.index("size(") < plan.index("aggregate(")
+
+
+def test_lines_of_many_documents_come_from_few_folders(spark):
+    from cadenza.plans.sources import a1_read_lines
+
+    texts = {k: "\n".join(f"{k} line {j}" for j in range(k % 700)) + ("\r\nx\r" if k % 3 == 0 else "") for k in range(1500)} | {1500: None}
+    sf_dir = tempfile.mkdtemp()
+    rows = [(k, t) for k, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{sf_dir}/documents.parquet")
+    start = time.time()
+    found = a1_read_lines(spark, sf_dir)
+    assert len(found.inputFiles()) <= 4
+    got = {(r.doc_id, r.line_no): r.line for r in found.collect()}
+    want = {(k, j): line for k, t in texts.items() for j, line in enumerate((t + "\n").replace("\r\n", "\n").replace("\r", "\n").split("\n")[:-1] if t else [""])}
+    assert got == want
+    assert time.time() - start < 60
