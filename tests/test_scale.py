@@ -47,7 +47,7 @@ def test_layout_of_a_long_text(spark):
     took, rows = seconds(df.select("text", "n", G.format_lines("text", F.col("n")).alias("out")))
     for r in rows:
         w, n = (r.text or "").split(), max(r.n, 1)
-        assert r.out == (None if r.text is None else "\n".join(" ".join(w[k:k + n]) for k in range(0, len(w), n)))
+        assert r.out == "\n".join(" ".join(w[k:k + n]) for k in range(0, len(w), n))
     assert took < 20
 
 
