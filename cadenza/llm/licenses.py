@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
 from ..session import cut_lineage
 from .common import first_by_hash, pick, small
 
@@ -61,7 +62,8 @@ TEMPLATES = (
 )
 FAMILIES = tuple(dict.fromkeys(f for f, _ in TEMPLATES))
 CLASSES = (*FAMILIES, "none")
-# A licence notice has one of these; confirmation asks for it, so other paragraphs need no scan.
+# A paragraph with one of these is reported even if nothing else is like a notice; others are judged by
+# their score and wording alone.
 CUES = ("licen", "copyright", "permission", "permitted", "redistribut", "warrant", "public domain", "rights reserved",
         "creative commons", "open source", "free software", "waived")
 
@@ -114,8 +116,9 @@ def examples(spark: SparkSession, docs: DataFrame, max_ordinary: int) -> DataFra
 
 def _features(rows: DataFrame, *keys: str) -> DataFrame:
     """(keys, gram, v): unit length by row."""
+    # The length is taken before the list is opened: a long one would go along with each of its n-grams.
     grams = rows.select(*keys, _grams(F.col("lower")).alias("g")).where("size(g) > 0")
-    return grams.select(*keys, F.explode("g").alias("gram"), (1 / F.sqrt(F.size("g"))).alias("v"))
+    return grams.select(*keys, "g", (1 / F.sqrt(F.size("g"))).alias("v")).select(*keys, F.explode("g").alias("gram"), "v")
 
 
 def _logits(features: DataFrame, weights: DataFrame, *keys: str) -> DataFrame:
@@ -183,14 +186,12 @@ def scan(df: DataFrame, weights: DataFrame, temperature: float, id_col: str = "d
     """(doc_id, paragraph, family, probability, shared) of each paragraph that may be a licence notice.
 
     ``family`` is ``unknown`` where the calibrated probability or the comparison with templates does not suffice.
+    A paragraph without a cue is one too if its family is confirmed, or likely and worded by ``MIN_GRAMS`` n-grams that
+    only this family's templates have.  Every paragraph's n-grams are compared with the templates'; one that has too few
+    for either is not scored, since no score would make it a notice.
     """
     spark = df.sparkSession
-    docs = pick(df, doc_id=id_col, text=text_col).where(_has_cue(_lower(F.col("text"))))
-    notices = cut_lineage(paragraphs(docs).where(_has_cue(F.col("lower"))).distinct())
-    texts = notices.select("lower").distinct()  # equal notices are scored once
-    z = _logits(_features(texts, "lower"), small(weights, 100_000), "lower")
-    p = F.slice(_softmax(F.col("z"), temperature), 1, len(FAMILIES))
-    best = z.select("lower", F.array_max(p).alias("probability"), F.element_at(F.array(*map(F.lit, FAMILIES)), F.array_position(p, F.array_max(p)).cast("int")).alias("guess"))
+    docs = pick(df, doc_id=id_col, text=text_col)
     # The templates are a fixed list: a few hundred n-grams.  Own ones stand in the templates of one family only.
     known = templates(spark).select("template", "family", F.explode(_grams(F.col("lower"))).alias("gram"))
     # Pieces of addresses are no wording of a family.
@@ -198,17 +199,38 @@ def scan(df: DataFrame, weights: DataFrame, temperature: float, id_col: str = "d
     shared = worded.groupBy("gram").agg((F.count_distinct("family") == 1).alias("own"))
     known = known.join(shared, "gram", "left").withColumn("own", F.coalesce("own", F.lit(False)))
     sizes = known.groupBy("template").agg(F.count(F.lit(1)).alias("n_template"), F.count_if("own").alias("own_template"))
+    listed = known.select("gram", "own").distinct().collect()
+    every, single = F.lit([r.gram for r in listed]), F.lit([r.gram for r in listed if r.own])
+    shortest = sizes.agg(F.min("n_template")).first()[0]
+
+    def like(g: Column) -> Column:
+        own, n = F.size(F.array_intersect(g, single)), F.size(F.array_intersect(g, every))
+        enough = F.greatest(F.lit(float(MIN_GRAMS)), MIN_SHARED * F.least(F.size(g), F.lit(shortest)) - 1e-6)
+        return (own >= MIN_GRAMS) | ((own > 0) & (n >= enough))
+
+    judge = _has_cue(F.col("lower")) | bound(_grams(F.col("lower")), like)
+    notices = cut_lineage(paragraphs(docs).where(judge).distinct())
+    # Equal notices are scored once, under a number: a paragraph may be a whole long text.
+    texts = cut_lineage(notices.select("lower").distinct().withColumn("text", F.monotonically_increasing_id()))
+    z = _logits(_features(texts, "text"), small(weights, 100_000), "text")
+    p = F.slice(_softmax(F.col("z"), temperature), 1, len(FAMILIES))
+    # Stored, or the filter below would repeat the scores' expressions in the plan.
+    best = cut_lineage(z.select("text", F.array_max(p).alias("probability"), F.element_at(F.array(*map(F.lit, FAMILIES)), F.array_position(p, F.array_max(p)).cast("int")).alias("guess")))
     known = F.broadcast(known.join(sizes, "template"))
-    mine = texts.select("lower", F.size(_grams(F.col("lower"))).alias("n_mine"), F.explode(_grams(F.col("lower"))).alias("gram"))
-    both = mine.join(known, "gram").groupBy("lower", "family", "template").agg(
+    mine = texts.select("text", _grams(F.col("lower")).alias("g")).select("text", "g", F.size("g").alias("n_mine"))
+    mine = mine.select("text", "n_mine", F.explode("g").alias("gram"))
+    both = mine.join(known, "gram").groupBy("text", "family", "template").agg(
         (F.count(F.lit(1)) / F.least(F.first("n_mine"), F.first("n_template"))).alias("shared"), F.count(F.lit(1)).alias("n"),
         F.count_if("own").alias("own"), F.first("own_template").alias("own_template"))
-    owned = mine.join(F.broadcast(shared.where("own").select("gram")), "gram").groupBy(F.col("lower").alias("_lower")).agg(F.count(F.lit(1)).alias("own_mine"))
-    both = both.join(owned, F.col("lower") == F.col("_lower"), "left")
+    owned = mine.join(F.broadcast(shared.where("own").select("gram")), "gram").groupBy(F.col("text").alias("_text")).agg(F.count(F.lit(1)).alias("own_mine"))
+    both = both.join(owned, F.col("text") == F.col("_text"), "left")
     own = F.col("own") / F.least("own_mine", "own_template") >= MIN_OWN
-    both = both.where((F.col("n") >= MIN_GRAMS) & own).groupBy("lower", F.col("family").alias("guess")).agg(F.max("shared").alias("shared"))
-    judged = best.join(both, ["lower", "guess"], "left").withColumn("shared", F.coalesce("shared", F.lit(0.0)))
-    sure = (F.col("probability") >= MIN_PROBABILITY) & (F.col("shared") >= MIN_SHARED)
+    both = both.groupBy("text", F.col("family").alias("guess")).agg(
+        F.max(F.when((F.col("n") >= MIN_GRAMS) & own, F.col("shared"))).alias("shared"), F.max("own").alias("worded"))
+    judged = best.join(both, ["text", "guess"], "left").withColumn("shared", F.coalesce("shared", F.lit(0.0)))
+    likely = F.col("probability") >= MIN_PROBABILITY
+    sure = likely & (F.col("shared") >= MIN_SHARED)
+    judged = judged.join(texts, "text").where(_has_cue(F.col("lower")) | sure | (likely & (F.col("worded") >= MIN_GRAMS)))
     judged = judged.select("lower", F.when(sure, F.col("guess")).otherwise(UNKNOWN).alias("family"), "probability", "shared")
     return notices.join(judged, "lower").select("doc_id", "paragraph", "family", "probability", "shared")
 

@@ -104,3 +104,13 @@ def test_edge_rows_and_empty_table(spark, model):
     assert licences(none(spark), *model).count() == 0
     weights, temperature = licenses.fit(spark, none(spark).select("doc_id", "text"), steps=2)
     assert licences(docs_of(spark, ["Released under the MIT License."]), weights, temperature).count() == 1
+
+
+def test_notices_without_a_listed_word_are_scored(spark, model):
+    texts = [
+        "You may not use this file except in compliance with the terms given to you.",
+        "an intro\nDistributed on an \"AS IS\" BASIS, either express or implied, unless required by applicable law or agreed to in writing",
+        "In no file is the law of the river given.", "word " * 3000 + "basis",
+    ]
+    assert not any(c in t.lower() for t in texts for c in licenses.CUES)
+    assert [(r.paragraph, r.family) for r in scan(docs_of(spark, texts), *model).orderBy("doc_id").collect()] == [(0, "apache"), (1, "apache")]
