@@ -199,14 +199,31 @@ def scan(df: DataFrame, weights: DataFrame, temperature: float, id_col: str = "d
     shared = worded.groupBy("gram").agg((F.count_distinct("family") == 1).alias("own"))
     known = known.join(shared, "gram", "left").withColumn("own", F.coalesce("own", F.lit(False)))
     sizes = known.groupBy("template").agg(F.count(F.lit(1)).alias("n_template"), F.count_if("own").alias("own_template"))
-    listed = known.select("gram", "own").distinct().collect()
-    every, single = F.lit([r.gram for r in listed]), F.lit([r.gram for r in listed if r.own])
     shortest = sizes.agg(F.min("n_template")).first()[0]
+    listed: dict[int, list] = {}
+    for r in known.select("template", "gram", "own").collect():
+        listed.setdefault(r.template, []).append(r)
+    every = F.lit(sorted({r.gram for rows in listed.values() for r in rows}))
+    single = F.lit([r.gram for r in shared.where("own").collect()])
+
+    def worded_as(rows: list, hits: Column, n: Column, own_n: Column) -> Column:
+        """Whether one template could confirm a paragraph: the tests on ``worded`` and ``shared`` below, from its n-grams."""
+        mine = [r.gram for r in rows if r.own]
+        own = F.size(F.array_intersect(hits, F.lit(mine))) if mine else F.lit(0)
+        met = F.size(F.array_intersect(hits, F.lit([r.gram for r in rows])))
+        near = (own > 0) & (own >= MIN_OWN * F.least(own_n, F.lit(len(mine))) - 1e-6)
+        return (own >= MIN_GRAMS) | (near & (met >= F.greatest(F.lit(float(MIN_GRAMS)), MIN_SHARED * F.least(n, F.lit(len(rows))) - 1e-6)))
 
     def like(g: Column) -> Column:
-        own, n = F.size(F.array_intersect(g, single)), F.size(F.array_intersect(g, every))
-        enough = F.greatest(F.lit(float(MIN_GRAMS)), MIN_SHARED * F.least(F.size(g), F.lit(shortest)) - 1e-6)
-        return (own >= MIN_GRAMS) | ((own > 0) & (n >= enough))
+        # Two cheap counts rule out most paragraphs; the others are compared with each template.
+        own, hits = F.size(F.array_intersect(g, single)), F.array_intersect(g, every)
+        few = F.greatest(F.lit(float(MIN_GRAMS)), MIN_SHARED * F.least(F.size(g), F.lit(shortest)) - 1e-6)
+
+        def compared(c: Column) -> Column:
+            maybe = (c["own"] >= MIN_GRAMS) | ((c["own"] > 0) & (F.size(c["hits"]) >= c["few"]))
+            return maybe & reduce(lambda a, b: a | b, (worded_as(rows, c["hits"], c["n"], c["own"]) for rows in listed.values()))
+
+        return bound(F.struct(own.alias("own"), hits.alias("hits"), F.size(g).alias("n"), few.alias("few")), compared)
 
     judge = _has_cue(F.col("lower")) | bound(_grams(F.col("lower")), like)
     notices = cut_lineage(paragraphs(docs).where(judge).distinct())

@@ -114,3 +114,20 @@ def test_notices_without_a_listed_word_are_scored(spark, model):
     ]
     assert not any(c in t.lower() for t in texts for c in licenses.CUES)
     assert [(r.paragraph, r.family) for r in scan(docs_of(spark, texts), *model).orderBy("doc_id").collect()] == [(0, "apache"), (1, "apache")]
+
+
+def test_only_paragraphs_that_a_template_could_confirm_are_stored_and_scored(spark, model, monkeypatch):
+    # Words of three families, but not three n-grams of any one: no score would make these a notice.
+    texts = ["an apache in the unencumbered land of mozilla, as the river goes by to the sea and the law", "Licensed under CC BY 4.0.",
+             "You may not use this file except in compliance with the terms given to you."]
+    stored, cut = [], licenses.cut_lineage
+
+    def seen(df):
+        out = cut(df)
+        stored.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(licenses, "cut_lineage", seen)
+    rows = scan(docs_of(spark, texts), *model).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.family) for r in rows] == [(1, "cc-by"), (2, "apache")]
+    assert (["lower", "text"], 2) in stored
