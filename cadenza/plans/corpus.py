@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import sentences as S
-from ..session import ensure_parallelism, table
+from ..session import ensure_parallelism, stored, table
 from . import duck as D
 from .fixtures import DUCK_INJECTED, INJECT_SQL
 from .registry import query
@@ -265,5 +265,5 @@ def c15_clean_lines(spark, sf_dir):
  SELECT doc_id, min(sent_no) AS sent_no, string_agg(sentence, ' ' ORDER BY sent_no) AS sentence FROM g GROUP BY doc_id, sid""",
 )
 def c11_merge_abbrev(spark, sf_dir):
-    sents = S.clean_corpus(injected(spark, sf_dir))
+    sents = stored(S.clean_corpus(injected(spark, sf_dir)), "clean")  # read for learning and for merging
     return S.merge_abbrev(sents, S.learn_abbreviations(sents))

@@ -88,3 +88,52 @@ def test_lines_of_many_documents_come_from_few_folders(spark):
     want = {(k, j): line for k, t in texts.items() for j, line in enumerate((t + "\n").replace("\r\n", "\n").replace("\r", "\n").split("\n")[:-1] if t else [""])}
     assert got == want
     assert time.time() - start < 60
+
+
+def test_only_pieces_that_are_merged_move_their_text(spark):
+    from cadenza.operators.sentences import merge_abbrev
+
+    rows = [(d, 3 * k, "Met by dr." if k % 5 == d else f"Piece {k} of {d}.") for d in range(3) for k in range(40)] + [(7, 0, "Last word dr.")] + 2 * [(8, 0, "Twice.")]
+    df = spark.createDataFrame(rows, "doc_id long, sent_no long, sentence string")
+    out = merge_abbrev(df, spark.createDataFrame([("dr", True), ("by", False)], "token string, is_abbrev boolean"))
+    want = []
+    for d, n, text in sorted(rows):
+        if want and want[-1][0] == d and want[-1][2].endswith("dr."):
+            want[-1] = (d, want[-1][1], f"{want[-1][2]} {text}")
+        else:
+            want.append((d, n, text))
+    assert sorted(map(tuple, out.collect())) == want
+    # One branch hands pieces on as they are, the other groups the merged ones.
+    alone = out._jdf.queryExecution().optimizedPlan().children().head().toString()
+    assert "collect_list" not in alone and "Aggregate" not in alone
+
+
+def test_a_stream_of_one_file_is_cleaned_by_all_tasks(spark):
+    folder = tempfile.mkdtemp()
+    rows = [(k, f"Sentence number {k} of the file. And a second one.") for k in range(64)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/in")
+    sdf = spark.readStream.schema("doc_id long, text string").parquet(f"{folder}/in")
+    parts = []
+
+    def keep(batch, _):
+        parts.append(batch.rdd.getNumPartitions())
+
+    clean_corpus(sdf).writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
+    assert parts == [spark.sparkContext.defaultParallelism]
+
+
+def test_rounds_with_a_low_penalty_do_not_double_their_plan(spark):
+    from cadenza.operators import ngram as NG
+    from cadenza.operators.generate import CandidateTables, Step, init_states
+    from cadenza.session import cut_lineage
+
+    sents = spark.createDataFrame([("m", 1, "a b c d."), ("m", 2, "a c b d.")], "model string, doc_id long, sentence string")
+    step = Step(CandidateTables(cut_lineage(NG.fit_ngrams(sents)), 10), 7, low_penalties=True)
+    state = [(1, "m", 0, "a", "a\n\n[Verse 1]\n", 9, 0.7, 3, 0.95, 0.2, 1)]
+    columns = ("song_id long, model string, section_pos int, idea string, prompt string, budget int, temperature double, top_k int, "
+               "top_p double, penalty double, attempt int")
+    packed, sizes = step.pack(cut_lineage(init_states(spark.createDataFrame(state, columns)))), []
+    for _ in range(3):
+        packed = step(packed)
+        sizes.append(packed._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+    assert sizes[2] <= sizes[0]
