@@ -137,3 +137,21 @@ def test_rounds_with_a_low_penalty_do_not_double_their_plan(spark):
         packed = step(packed)
         sizes.append(packed._jdf.queryExecution().optimizedPlan().toString().count("Join"))
     assert sizes[2] <= sizes[0]
+
+
+def test_the_split_without_positions_numbers_one_document_of_a_group(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cadenza.operators import training as TR
+
+    rows = [(f"m{d % 3}", None if d == 50 else d, s, f"text {d} {s}") for d in range(61) for s in range(0, 2 * (d % 5 + 1), 2)]
+    df = spark.createDataFrame(rows, "model string, doc_id long, sent_no long, sentence string").repartition(5)
+    want = TR.ordered_split(df).select("model", "doc_id", "sent_no", "sentence", "split")
+    names, kept = [], TR.stored
+    monkeypatch.setattr(TR, "stored", lambda d, name: names.append((name, d)) or kept(d, name))
+    got = TR.train_eval_split(df)
+    assert sorted(got.select(*want.columns).collect()) == sorted(want.collect())
+    assert {r.split for r in got.select("split").collect()} == {"train", "eval"}
+    (_, first), (_, divided) = names
+    assert "Window" not in first._jdf.queryExecution().toString()
+    assert divided.groupBy("model").agg(F.countDistinct("doc_id").alias("n")).where("n > 1").isEmpty()
