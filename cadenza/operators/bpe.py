@@ -31,9 +31,11 @@ def word_symbols(word) -> F.Column:
 
 
 def word_table(sentences: DataFrame, col: str = "sentence", group_cols=("model",)) -> DataFrame:
+    """``(group, word, freq, symbols)`` of the distinct words.  They are cut off before their symbols are made: conditions
+    on the symbols would be moved below the count otherwise, and every occurrence of a word be taken apart."""
     g = list(group_cols)
     words = sentences.select(*g, F.explode(tokens(col)).alias("word")).groupBy(*g, "word").agg(F.count(F.lit(1)).alias("freq"))
-    return words.withColumn("symbols", word_symbols("word"))
+    return cut_lineage(words).withColumn("symbols", word_symbols("word"))
 
 
 def pair_counts(words: DataFrame, group_cols=("model",)) -> DataFrame:

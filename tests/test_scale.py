@@ -155,3 +155,14 @@ def test_the_split_without_positions_numbers_one_document_of_a_group(spark, monk
     (_, first), (_, divided) = names
     assert "Window" not in first._jdf.queryExecution().toString()
     assert divided.groupBy("model").agg(F.countDistinct("doc_id").alias("n")).where("n > 1").isEmpty()
+
+
+def test_words_are_taken_apart_once_they_are_counted(spark):
+    from cadenza.operators import bpe
+
+    df = spark.createDataFrame([("a", "the cat, the hat."), ("a", "a the"), ("b", "x")], "model string, sentence string")
+    pairs = bpe.pair_counts(bpe.word_table(df))
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1  # the count of words is behind it: no condition is moved below that
+    got = {(r.model, r.left, r.right): r.n for r in pairs.collect()}
+    assert got == {("a", "t", "h"): 3, ("a", "h", "e</w>"): 3, ("a", "c", "a"): 1, ("a", "a", "t</w>"): 2, ("a", "h", "a"): 1}
