@@ -166,3 +166,18 @@ def test_words_are_taken_apart_once_they_are_counted(spark):
     assert plan.count("Aggregate") == 1  # the count of words is behind it: no condition is moved below that
     got = {(r.model, r.left, r.right): r.n for r in pairs.collect()}
     assert got == {("a", "t", "h"): 3, ("a", "h", "e</w>"): 3, ("a", "c", "a"): 1, ("a", "a", "t</w>"): 2, ("a", "h", "a"): 1}
+
+
+def test_the_states_are_hashed_and_the_candidate_table_is_not_sorted(spark):
+    from cadenza.operators import generate as G
+    from cadenza.operators import ngram as NG
+
+    ngrams = NG.fit_ngrams(spark.createDataFrame([("m", "the cat sat on the mat.")], "model string, sentence string"))
+    prompts = spark.createDataFrame([(1, "m", 0, 1, "the cat", "the cat", 4, 0.7, 50, 0.95, 1.25)], "song_id long, model string, section_pos int, "
+                                    "attempt int, prompt string, idea string, budget int, temperature double, top_k int, top_p double, penalty double")
+    cands = G.CandidateTables(ngrams, 60, broadcast_limit=0)
+    step = G.Step(cands, 42)
+    plan = step(step.pack(G.init_states(prompts)))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BuildLeft" in plan and "SortMergeJoin" not in plan
+    assert [r.tokens for r in G.generate_section(prompts, cands, 42).collect()] == [
+        r.tokens for r in G.generate_section(prompts, G.CandidateTables(ngrams, 60), 42).collect()]
