@@ -135,6 +135,7 @@ def learn_bpe(words: DataFrame, k: int | None = None, group_cols=("model",), tas
 
 def _by_rounds(words: DataFrame, k: int | None, g: list[str]) -> DataFrame:
     words, merges = cut_lineage(words), []
+    both = F.array_contains("symbols", F.col("_l")) & F.array_contains("symbols", F.col("_r"))  # few words are rewritten
     for rank in itertools.count(1) if k is None else range(1, k + 1):
         best = pair_counts(words, g).groupBy(*g).agg(
             F.min_by(F.struct("left", "right", "n"), F.struct(-F.col("n"), F.col("left"), F.col("right"))).alias("b")
@@ -145,7 +146,7 @@ def _by_rounds(words: DataFrame, k: int | None, g: list[str]) -> DataFrame:
         merges.append(best)
         chosen = broadcast_if_few(best.select(*g, F.col("left").alias("_l"), F.col("right").alias("_r")))
         words = cut_lineage(words.join(chosen, g, "left").select(
-            *g, F.when(F.col("_l").isNull(), F.col("symbols")).otherwise(_merge(F.col("symbols"), F.col("_l"), F.col("_r"))).alias("symbols"), "freq"
+            *g, F.when(both, _merge(F.col("symbols"), F.col("_l"), F.col("_r"))).otherwise(F.col("symbols")).alias("symbols"), "freq"
         ))
     out = merges[0]
     for m in merges[1:]:
