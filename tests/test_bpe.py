@@ -62,3 +62,30 @@ def test_rounds_over_all_tasks_give_the_same(spark):
     # Models on either side of the bound.
     sizes = sorted(r["count"] for r in table.groupBy("model").count().collect())
     assert by_model(learn_bpe(table, 4, task_words=sizes[1])) == by_model(learn_bpe(table, 4))
+
+
+def test_rounds_keep_rows_and_no_plans(spark):
+    """The driver's plan of the result does not grow with the merges."""
+    table = word_table(corpus(spark))
+    few, many = (learn_bpe(table, k, task_words=0) for k in (2, 12))
+    assert by_model(many) == by_model(learn_bpe(table, 12))
+    assert len(many._jdf.queryExecution().optimizedPlan().toString().splitlines()) == len(few._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+
+def test_a_task_merges_many_words_in_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    from cadenza.operators.bpe import merges_of
+
+    rng = np.random.default_rng(1)
+    n = 60_000
+    lengths = rng.integers(1, 12, n)
+    symbols = rng.integers(0, 26, int(lengths.sum())).astype(np.int32)
+    freqs = rng.integers(1, 50, n)
+    tracemalloc.start()
+    found = list(merges_of([chr(97 + k) for k in range(26)], symbols, lengths, freqs, 20))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 20 and found[0][2] >= found[-1][2] and peak < 600 * n
